@@ -33,7 +33,7 @@ def newest_rows(rows: DataFrame, snapshots: DataFrame, objects: DataFrame, *, ob
     newest = rows.select(F.col(obj), F.col(number), F.col(key).alias("_key"), value.alias("x")).groupBy(obj, number, "_key").agg(F.max("x").alias("x"))
     return (
         newest.join(snapshots, [obj, number]).join(objects, obj, "left")
-        .select(F.col(obj).alias("object"), "rank", "_key", key_hashes(F.col("_key"))[0].alias("h"), F.col("x.row").alias("row"), F.coalesce("incremental", F.lit(False)).alias("incremental"), *(F.col(f"x.{c}").alias(c) for c in carried))
+        .select(F.col(obj).alias("object"), "rank", "last", "_key", key_hashes(F.col("_key"))[0].alias("h"), F.col("x.row").alias("row"), F.coalesce("incremental", F.lit(False)).alias("incremental"), *(F.col(f"x.{c}").alias(c) for c in carried))
     )
 
 
@@ -45,31 +45,26 @@ def leaf(h: Column, depth: int) -> Column:
     return F.shiftrightunsigned(h, 64 - BITS * depth)
 
 
-def changed_leaves(newest: DataFrame, snapshots: DataFrame, obj: str, depth: int) -> DataFrame:
+def changed_leaves(newest: DataFrame, depth: int) -> DataFrame:
     """(object, rank, node, place): the leaves of each snapshot that differ from the snapshot before; ``place`` counts a leaf's changed deliveries."""
     mixed = F.xxhash64("h", "row")
-    leaves = newest.groupBy("object", "rank", leaf(F.col("h"), depth).alias("node")).agg(F.bit_xor(mixed).alias("x"), F.sum(F.shiftright(mixed, 24)).alias("s"), F.count("*").alias("n"))
-    levels = [leaves.select("object", "rank", "node", F.xxhash64("x", "s", "n").alias("digest"))]
-    levels[0] = materialise(levels[0], "merkle-leaves")
-    for _ in range(depth):
-        below = levels[-1]
-        child = F.xxhash64("node", "digest")
-        levels.append(below.groupBy("object", "rank", F.shiftrightunsigned("node", BITS).alias("node")).agg(F.xxhash64(F.bit_xor(child), F.sum(F.shiftright(child, 24)), F.count("*")).alias("digest")))
+    leaves = newest.groupBy("object", "rank", leaf(F.col("h"), depth).alias("node")).agg(F.bit_xor(mixed).alias("x"), F.sum(F.shiftright(mixed, 24)).alias("s"), F.count("*").alias("n"), F.max("last").alias("last"))
+    # every leaf counts in each node above it: one aggregate gives all levels of the tree
+    up = leaves.select("object", "rank", "last", "node", F.xxhash64("node", "x", "s", "n").alias("h"), F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("up"))
+    node = F.expr(f"shiftrightunsigned(node, cast(up * {BITS} as int))")
+    tree = up.groupBy("object", "rank", "up", node.alias("node")).agg(F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 24)).alias("s"), F.count("*").alias("n"), F.max("last").alias("last"))
+    tree = materialise(tree.select("object", "rank", "last", "up", "node", F.xxhash64("x", "s", "n").alias("digest")), "merkle-tree")
     differing = None
-    for level in reversed(levels):
+    for level in range(depth, -1, -1):
+        here = tree.filter(F.col("up") == level)
+        sides = here.select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(here.filter("rank < last").select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now")))
         if differing is not None:
-            # both sides of a differing parent: its children in this snapshot and in the one before
-            parent = level.withColumn("_parent", F.shiftrightunsigned("node", BITS))
-            here = parent.join(differing.select("object", "rank", F.col("node").alias("_parent")), ["object", "rank", "_parent"], "left_semi")
-            before = parent.join(differing.select("object", (F.col("rank") - 1).alias("rank"), F.col("node").alias("_parent")), ["object", "rank", "_parent"], "left_semi")
-            level = here.select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(before.select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now")))
-        else:
-            level = level.select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(level.select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now")))
-        pair = level.groupBy("object", "rank", "node").agg(F.max(F.when(F.col("now"), F.col("digest"))).alias("a"), F.max(F.when(~F.col("now"), F.col("digest"))).alias("b"))
+            # only children of nodes that differ are looked at
+            above = differing.select("object", "rank", F.col("node").alias("_parent"))
+            sides = sides.withColumn("_parent", F.shiftrightunsigned("node", BITS)).join(above, ["object", "rank", "_parent"], "left_semi")
+        pair = sides.groupBy("object", "rank", "node").agg(F.max(F.when(F.col("now"), F.col("digest"))).alias("a"), F.max(F.when(~F.col("now"), F.col("digest"))).alias("b"))
         differing = pair.filter("not (a <=> b)").select("object", "rank", "node")
-    last = snapshots.select(F.col(obj).alias("object"), "rank").distinct()
-    real = differing.join(last, ["object", "rank"], "left_semi")  # not the step after the last snapshot
-    return real.withColumn("place", F.row_number().over(Window.partitionBy("object", "node").orderBy("rank")))
+    return differing.withColumn("place", F.row_number().over(Window.partitionBy("object", "node").orderBy("rank")))
 
 
 def history(
@@ -81,7 +76,7 @@ def history(
     numbered = ordered_snapshots(rows, obj, number, taken_at)
     times = rows.groupBy(obj, number).agg(F.min(taken_at).alias("_taken"))
     newest = materialise(newest_rows(rows, numbered, objects, obj=obj, number=number, key=key, updated_at=updated_at, compared=compared, carried=carried), "merkle-rows")
-    changed = materialise(changed_leaves(newest, numbered, obj, depth), "merkle-changed")
+    changed = materialise(changed_leaves(newest, depth), "merkle-changed")
 
     met = newest.withColumn("node", leaf(F.col("h"), depth)).join(changed, ["object", "rank", "node"])
     own = Window.partitionBy("object", "_key").orderBy("rank")
