@@ -159,9 +159,9 @@ def judged(docs: DataFrame, *, key: str, text: str, lang: str, limits: StuffingL
     found = materialise(measures(docs, key=key, text=text, lang=lang, limits=limits), "stuffing")
     fine = usual_ratios(found, ["lang", "size"], limits.least_docs)
     rough = usual_ratios(found, ["size"], limits.least_docs).withColumnRenamed("usual", "usual_size")
-    whole = usual_ratios(found.withColumn("all", F.lit(1)), ["all"], 1).select(F.col("usual").alias("usual_all"))
-    both = found.join(fine, ["lang", "size"], "left").join(rough, "size", "left").join(whole.withColumn("one", F.lit(1)), F.lit(1) == F.col("one"), "left")
-    usual = F.coalesce("usual", "usual_size", "usual_all", F.lit(0.2))
+    whole = found.filter("sentences >= 0.5 and length > 0").agg(F.percentile_approx("ratio", 0.5, 10_000)).first()[0]
+    both = found.join(fine, ["lang", "size"], "left").join(rough, "size", "left")
+    usual = F.coalesce("usual", "usual_size", F.lit(whole), F.lit(0.2))
     normal = F.col("ratio") / usual
     stuffed = (F.col("left") > limits.share) & (F.col("sentences") < limits.share) & (F.col("length") >= limits.least) & (normal <= limits.ratio)
     return both.select(F.col("key").alias(key), "left", "sentences", "ratio", normal.alias("normalised"), stuffed.alias("stuffed"))
