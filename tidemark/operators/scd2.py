@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidemark.functions.hashing import row_hash
 
 HISTORY = ["valid_from", "valid_to", "is_current", "is_deleted", "_row_hash"]
 PROVENANCE = {"ingested_at", "run_id", "source", "_ingested_at", "_run_id", "_source"}
-STEP = F.expr("INTERVAL 1 MICROSECOND")
+STEP = timedelta(microseconds=1)
 
 
 @dataclass(frozen=True)
@@ -75,8 +76,8 @@ def classified(history: DataFrame, incoming: DataFrame, keys: list[str], effecti
         .otherwise("change")
     )
     start = (
-        F.when(action == "reopen", F.greatest(F.col("new.valid_from"), F.col("old.valid_from") + STEP))
-        .when(action == "tombstone", F.greatest(run_time, F.col("old.valid_from") + STEP))
+        F.when(action == "reopen", F.greatest(F.col("new.valid_from"), F.col("old.valid_from") + F.lit(STEP)))
+        .when(action == "tombstone", F.greatest(run_time, F.col("old.valid_from") + F.lit(STEP)))
         .otherwise(F.col("new.valid_from"))
     )
     return both.withColumn("action", action).withColumn("start", start).select("old", "new", "action", "start")
