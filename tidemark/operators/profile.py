@@ -69,9 +69,13 @@ class ValueCountStore:
     def counts(self) -> DataFrame:
         return self.table.read().groupBy(*KEYS, "value", "broken").agg(F.sum("n").alias("n")).filter("n <> 0")
 
+    def maintained(self) -> DataFrame:
+        """The counts as they are stored; the same as ``counts`` right after ``compact``, without summing again."""
+        return self.table.read()
+
     def compact(self) -> int:
         """Folds all deltas into one count per value."""
-        return self.table.overwrite(self.counts(), f"compact {uuid.uuid4().hex}")
+        return self.table.overwrite(self.counts(), "compact")
 
 
 def ranks(counts: DataFrame, keys: list[str], value: str, n: str, targets: DataFrame, bits: int = 63) -> DataFrame:

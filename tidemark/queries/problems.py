@@ -45,6 +45,7 @@ def value_count_store(spark: SparkSession, sf: str) -> profile.ValueCountStore:
     store = profile.ValueCountStore(spark, new_path(spark, "value-counts"))
     for name, specs in _specs().items():
         store.apply(table(spark, sf, name), name, "load_no", specs)
+    store.compact()
     return store
 
 
@@ -54,7 +55,7 @@ def _names(kind: str) -> list[str]:
 
 def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Every considered column of every load: nulls, distinct values, range, median, zeros, broken forms and entropy."""
-    counts = value_count_store(spark, sf).counts()
+    counts = value_count_store(spark, sf).maintained()
     return profile.load_profile(counts, _names("number"), profile.largest_bits(counts, _names("number"))).select(
         F.col("scope").alias("table_name"), F.col("load").alias("load_no"), "column_name", "n_rows", "nulls", "n_distinct", "min_value", "max_value",
         F.round("median", 3).alias("median"), F.round("null_share", 6).alias("null_share"), F.round("broken_share", 6).alias("broken_share"),
@@ -64,14 +65,14 @@ def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def p1_state(spark: SparkSession, sf: str) -> DataFrame:
     """The same figures of the tables as they are after all loads."""
-    counts = value_count_store(spark, sf).counts()
+    counts = value_count_store(spark, sf).maintained()
     return profile.state_profile(counts, _names("number"), profile.largest_bits(counts, _names("number"))).select(
         F.col("scope").alias("table_name"), "column_name", "n_rows", "nulls", "n_distinct", "min_value", "max_value", F.round("median", 3).alias("median"), F.round("entropy", 6).alias("entropy")
     )
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    counts = value_count_store(spark, sf).counts()
+    counts = value_count_store(spark, sf).maintained()
     numbers = _names("number")
     figures = materialise(profile.load_profile(counts, numbers, profile.largest_bits(counts, numbers)), "profiles")
     return profile.departures(counts, figures, numbers, _names("category")).select(F.col("scope").alias("table_name"), F.col("load").alias("load_no"), "column_name")
