@@ -29,7 +29,7 @@ STATE = ["object", "key", "ord", "change_no", "is_delete", "payload"]
 def field_named(df: DataFrame, name: Column, columns: list[str] | None = None) -> Column:
     """The text of the column whose name another column holds; null if there is none of that name."""
     pairs = [x for c in (columns or df.columns) for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]
-    return F.create_map(*pairs).getItem(name)
+    return F.create_map(*pairs)[name]
 
 
 def normalised(changes: DataFrame, settings: DataFrame, *, obj: str, number: str, arrived_at: str) -> DataFrame:
@@ -44,7 +44,7 @@ def normalised(changes: DataFrame, settings: DataFrame, *, obj: str, number: str
     return both.select(
         F.col(obj).alias("object"),
         F.transform("_keys", lambda k: values(F.trim(k))).alias("key"),
-        order.getItem(F.trim("_ord")).alias("ord"),
+        order[F.trim("_ord")].alias("ord"),
         F.col(number).alias("change_no"),
         F.coalesce(lowered(values(F.trim("_op"))) == lowered(F.col("_del")), F.lit(False)).alias("is_delete"),
         F.struct(*(F.col(f"`{c}`") for c in payload)).alias("payload"),

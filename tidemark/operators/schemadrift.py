@@ -63,7 +63,7 @@ def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def rename_evidence(pairs: DataFrame, read: DataFrame) -> DataFrame:
     """(object, version, old_fields, new_fields): for each pair, its gone and its new fields with the digest of their values over the common keys."""
     sides = pairs.filter("prev is not null").mapInPandas(_candidates, "object long, version long, pair long, is_new boolean, wanted array<string>")
-    picked = read.join(sides, ["object", "version"]).select("object", "pair", "record_key", "is_new", F.struct("wanted", F.transform("wanted", lambda n: F.col("fields").getItem(n)).alias("held")).alias("x"))
+    picked = read.join(sides, ["object", "version"]).select("object", "pair", "record_key", "is_new", F.struct("wanted", F.transform("wanted", lambda n: F.col("fields")[n]).alias("held")).alias("x"))
     both = picked.groupBy("object", "pair", "record_key").agg(F.max(F.when(~F.col("is_new"), F.col("x"))).alias("a"), F.max(F.when(F.col("is_new"), F.col("x"))).alias("b")).filter("a is not null and b is not null")
     side = lambda c, new: F.transform(F.arrays_zip(f"{c}.wanted", f"{c}.held"), lambda z: F.struct(F.lit(new).alias("is_new"), z["wanted"].alias("name"), z["held"].alias("value")))
     long = both.select("object", "pair", "record_key", F.explode(F.concat(side("a", False), side("b", True))).alias("f")).select("object", "pair", "record_key", "f.*")
@@ -132,7 +132,7 @@ def unified(read: DataFrame, plan: DataFrame) -> DataFrame:
     names = plan.groupBy("object", "version").agg(F.map_from_entries(F.collect_list(F.struct("field", "column_name"))).alias("names"))
     # a field that its schema doesn't name keeps its name, unless that is another field's final one
     own = lambda k: F.when(F.array_contains(F.map_values("names"), k), F.concat(k, F.lit("__raw"))).otherwise(k)
-    entries = F.transform(F.map_entries("fields"), lambda e: F.struct(F.coalesce(F.col("names").getItem(e["key"]), own(e["key"])).alias("key"), e["value"].alias("value")))
+    entries = F.transform(F.map_entries("fields"), lambda e: F.struct(F.coalesce(F.col("names")[e["key"]], own(e["key"])).alias("key"), e["value"].alias("value")))
     rest = [c for c in read.columns if c.startswith("_in_")]
     sorted_entries = F.array_sort(F.filter(entries, lambda e: e["value"].isNotNull()))
     moved = read.join(names, ["object", "version"], "left").select("object", "version", "record_key", sorted_entries.alias("e"), *rest)

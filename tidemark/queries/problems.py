@@ -85,7 +85,7 @@ def named_micros(df: DataFrame, name: Column, columns: list[str]) -> Column:
     """The microseconds of the column that ``name`` names: bigint columns hold seconds."""
     kinds = dict(df.dtypes)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c).cast("bigint") * 1_000_000
-    return F.create_map(*(x for c in columns for x in (F.lit(c), micros(c)))).getItem(name)
+    return F.create_map(*(x for c in columns for x in (F.lit(c), micros(c))))[name]
 
 
 ORDER_TIMES = ["purchased_at", "delivered_at", "updated_at", "arrived_at"]
