@@ -110,3 +110,29 @@ def first_run_after(rows: DataFrame, runs: DataFrame, *, obj: str, arrived: str,
     cells = spans.join(first, "_obj").withColumn("_from", F.coalesce("_after", F.least("_min", "_upto"))).withColumn("_cell", F.explode(F.sequence(day(F.col("_from")), day(F.col("_upto")))))
     on = (F.col(obj) == F.col("_obj")) & (day(F.col(arrived)) == F.col("_cell")) & (F.col(arrived) <= F.col("_upto")) & (F.col("_after").isNull() | (F.col(arrived) > F.col("_after")))
     return rows.join(cells.drop("_from", "_min"), on).drop("_obj", "_after", "_upto", "_cell").withColumnRenamed("_run", run)
+
+
+def run_watermarks(rows: DataFrame, runs: DataFrame, *, obj: str, arrived: str, started: str, run: str, value: str, grace: str) -> DataFrame:
+    """For each run: obj, run, watermark_from, watermark_to, rows_new and rows_reprocessed.
+
+    The watermark after a run is the greatest ``value`` of all rows that had arrived, and never falls. A run reads again the rows of earlier runs whose
+    value is above its watermark_from less the grace. ``runs`` holds obj, run, started and grace (in the units of value). Rows with a null value don't count.
+
+    A row can only be read again by the runs right after its own until the mark less the grace passes it, so rows that the next run doesn't read are left out before the join.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(obj).orderBy("_start")
+    first = first_run_after(rows.select(obj, arrived, F.col(value).alias("_value")).filter(F.col(arrived).isNotNull()), runs.select(obj, started, run), obj=obj, arrived=arrived, started=started, run=run)
+    own = first.groupBy(obj, run).agg(F.count("*").alias("rows_new"), F.max("_value").alias("_max"))
+    one = runs.groupBy(obj, F.col(started).alias("_start")).agg(F.min(run).alias(run), F.max(grace).alias("_grace"))
+    marks = (
+        one.join(own, [obj, run], "left")
+        .withColumns({"watermark_to": F.max("_max").over(w), "_seq": F.row_number().over(w)})
+        .withColumn("watermark_from", F.lag("watermark_to").over(w))
+        .withColumns({"_edge": F.col("watermark_from") - F.greatest(F.coalesce("_grace", F.lit(0)), F.lit(0)), "rows_new": F.coalesce("rows_new", F.lit(0))})
+        .withColumn("_edge1", F.lead("_edge").over(w))
+    )
+    late = first.join(marks.select(obj, run, "_seq", "_edge1"), [obj, run]).filter("_value > _edge1").select(F.col(obj).alias("_obj"), F.col("_seq").alias("_at"), "_value")
+    again = marks.join(late, (F.col(obj) == F.col("_obj")) & (F.col("_seq") > F.col("_at")) & (F.col("_value") > F.col("_edge"))).groupBy(obj, run).agg(F.count("*").alias("rows_reprocessed"))
+    return marks.join(again, [obj, run], "left").select(obj, run, "watermark_from", "watermark_to", "rows_new", F.coalesce("rows_reprocessed", F.lit(0)).alias("rows_reprocessed"))

@@ -226,6 +226,15 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return increment.first_run_after(rows, _succeeded(spark, sf), obj="source_object_id", arrived="arrived_at", started="started_at", run="run_no").select("run_no", "row_no")
 
 
+def p7_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """What each successful run's log should say: its watermarks in seconds, the rows it was the first to read and those its grace window read again."""
+    settings = table(spark, sf, "source_object").select(F.col("id").alias("source_object_id"), (F.col("watermark_grace") * 1_000_000).alias("grace")).dropDuplicates(["source_object_id"])
+    runs = _succeeded(spark, sf).join(settings, "source_object_id")
+    out = increment.run_watermarks(orders_with_event_time(spark, sf), runs, obj="source_object_id", arrived="arrived_at", started="started_at", run="run_no", value="event_us", grace="grace")
+    seconds = lambda c: F.expr(f"{c} div 1000000").alias(c)
+    return out.select("source_object_id", "run_no", seconds("watermark_from"), seconds("watermark_to"), "rows_new", "rows_reprocessed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_current, p6_found, p6_history, p7_found)
+    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_current, p6_found, p6_history, p7_found, p7_runs)
 }

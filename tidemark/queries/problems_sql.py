@@ -144,7 +144,18 @@ runs AS (SELECT source_object_id, started_at, min(run_no) AS run_no FROM increme
 SELECT r.run_no, o.row_no FROM once o ASOF JOIN runs r ON o.source_object_id = r.source_object_id AND o.arrived_at <= r.started_at
 """
 
+_P7_RUNS = """
+WITH e AS (SELECT source_object_id AS o, arrived_at AS a, CASE incremental_column WHEN 'purchased_at' THEN purchased_at WHEN 'delivered_at' THEN delivered_at WHEN 'updated_at' THEN s.updated_at END AS w FROM shop_orders s JOIN source_object t ON t.id = s.source_object_id),
+r AS (SELECT source_object_id AS o, started_at AS st, min(run_no) AS run_no, any_value(watermark_grace) AS g FROM incremental_runs JOIN source_object t ON t.id = source_object_id WHERE status = 'succeeded' AND started_at IS NOT NULL GROUP BY ALL),
+first AS (SELECT e.o, e.w, r.run_no, r.st FROM e ASOF JOIN r ON e.o = r.o AND e.a <= r.st),
+own AS (SELECT o, run_no, count(*) AS n, max(w) AS m FROM first GROUP BY ALL),
+m AS (SELECT r.*, coalesce(n, 0) AS n, max(m) OVER (PARTITION BY r.o ORDER BY st) AS wt FROM r LEFT JOIN own ON own.o = r.o AND own.run_no = r.run_no),
+k AS (SELECT *, lag(wt) OVER (PARTITION BY o ORDER BY st) AS wf FROM m),
+again AS (SELECT k.o, k.run_no, count(*) AS x FROM k JOIN first f ON f.o = k.o AND f.st < k.st AND f.w > k.wf - k.g GROUP BY ALL)
+SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_to, n AS rows_new, coalesce(x, 0) AS rows_reprocessed FROM k LEFT JOIN again ON again.o = k.o AND again.run_no = k.run_no
+"""
+
 ORACLES = {
     "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p3_found": _P3, "p3_counts": _P3_COUNTS,
-    "p4_found": _P4, "p5_found": _P5, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7,
+    "p4_found": _P4, "p5_found": _P5, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }

@@ -14,7 +14,7 @@ from tidemark.storage.table import Entry, VersionedTable
 
 TARGET, SMALL = 128 << 20, 16 << 20
 RETENTION_HOURS = 168
-ZBITS = 10
+ZBITS = 6
 
 
 @dataclass(frozen=True)
@@ -49,18 +49,27 @@ def z_value(columns: list[Column]) -> Column:
     return out
 
 
-def _rank(df: DataFrame, name: str) -> Column:
-    """The number of quantile boundaries under a value: an even spread over 2**ZBITS steps whatever the distribution."""
+def _scalar(df: DataFrame, name: str) -> Column:
+    """A number in the order of the column's values; texts are spread by their hash."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return F.xxhash64(c).cast("double")
+
+
+def ranks(df: DataFrame, columns: list[str]) -> list[Column]:
+    """For each column the number of quantile boundaries at or under a value: an even spread over 2**ZBITS steps whatever the distribution. One pass finds all boundaries."""
     steps = 1 << ZBITS
-    numeric = isinstance(df.schema[name].dataType, T.NumericType)
-    c = F.col(f"`{name}`") if numeric else F.unix_micros(F.col(f"`{name}`").cast("timestamp")) if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) else F.shiftright(F.xxhash64(f"`{name}`"), 40)
-    edges = df.agg(F.percentile_approx(c, [i / steps for i in range(1, steps)], 10_000).alias("e")).first().e or []
-    edges = sorted(set(edges))
-    if not edges:
-        return F.lit(0)
-    array = F.array(*(F.lit(e) for e in edges))
-    # edges are sorted: counting those at or under the value is its rank
-    return F.coalesce(F.size(F.filter(array, lambda e: e <= c)), F.lit(0)) if len(edges) <= 64 else F.coalesce(F.least(F.lit(steps - 1), F.floor((c - F.lit(edges[0])) / F.lit(max((edges[-1] - edges[0]) / steps, 1e-9)))), F.lit(0))
+    shares = [i / steps for i in range(1, steps)]
+    found = df.agg(*(F.percentile_approx(_scalar(df, c), shares, 10_000).alias(f"e{i}") for i, c in enumerate(columns))).first()
+    out = []
+    for i, c in enumerate(columns):
+        edges = sorted(set(found[i] or []))
+        value = _scalar(df, c)
+        out.append(F.coalesce(F.size(F.filter(F.array(*map(F.lit, edges)), lambda e, v=value: e <= v)), F.lit(0)) if edges else F.lit(0))
+    return out
 
 
 def zorder(table: VersionedTable, columns: list[str], files: int | None = None) -> int:
@@ -71,7 +80,7 @@ def zorder(table: VersionedTable, columns: list[str], files: int | None = None)
         raise ValueError(f"no column(s) {', '.join(missing)}")
     m = table.manifest()
     n = files or max(1, -(-sum(f.bytes for f in m.files) // TARGET))
-    z = z_value([_rank(df, c) for c in columns])
+    z = z_value(ranks(df, columns))
     staged = table.stage(df.withColumn("__z", z).repartitionByRange(n, "__z").sortWithinPartitions("__z").drop("__z"))
     return table.commit(m.version, "zorder", m.struct, with_stats(table, m.struct, staged, columns), {"columns": columns})
 
