@@ -82,9 +82,9 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def named_micros(df: DataFrame, name: Column, columns: list[str]) -> Column:
-    """The microseconds of the column that ``name`` names: bigint columns hold seconds."""
+    """The microseconds of the column that ``name`` names: bigint columns hold seconds; null beyond the range of a bigint."""
     kinds = dict(df.dtypes)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c).cast("bigint") * 1_000_000
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.try_multiply(F.col(c).cast("bigint"), F.lit(1_000_000))
     return F.create_map(*(x for c in columns for x in (F.lit(c), micros(c))))[name]
 
 
