@@ -53,7 +53,7 @@ def changed_leaves(newest: DataFrame, depth: int) -> DataFrame:
     up = leaves.select("object", "rank", "last", "node", F.xxhash64("node", "x", "s", "n").alias("h"), F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("up"))
     node = F.expr(f"shiftrightunsigned(node, cast(up * {BITS} as int))")
     tree = up.groupBy("object", "rank", "up", node.alias("node")).agg(F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 24)).alias("s"), F.count("*").alias("n"), F.max("last").alias("last"))
-    tree = materialise(tree.select("object", "rank", "last", "up", "node", F.xxhash64("x", "s", "n").alias("digest")), "merkle-tree")
+    tree = materialise(tree.select("object", "rank", "last", "up", "node", F.xxhash64("x", "s", "n").alias("digest")), "merkle-tree", partition="up")
     differing = None
     for level in range(depth, -1, -1):
         here = tree.filter(F.col("up") == level)
@@ -73,8 +73,7 @@ def history(
     """One row per version: obj, key, from_snapshot, to_snapshot (0 while open), valid_from, valid_to, is_current, is_deleted and the carried columns."""
     carried = carried or []
     depth = depth_for(rows.count(), per_leaf)
-    numbered = ordered_snapshots(rows, obj, number, taken_at)
-    times = rows.groupBy(obj, number).agg(F.min(taken_at).alias("_taken"))
+    numbered = materialise(ordered_snapshots(rows, obj, number, taken_at), "merkle-snapshots")
     newest = materialise(newest_rows(rows, numbered, objects, obj=obj, number=number, key=key, updated_at=updated_at, compared=compared, carried=carried), "merkle-rows")
     changed = materialise(changed_leaves(newest, depth), "merkle-changed")
 
@@ -90,7 +89,7 @@ def history(
     version = lambda r, d: F.struct(F.col(r).alias("rank"), F.lit(d).alias("is_deleted"))
     events = seen.select("object", "_key", *carried, F.explode(F.array_compact(F.array(F.when(opens, version("rank", False)), F.when(gone, version("_gone", True))))).alias("e")).select("object", "_key", *carried, "e.*")
     versions = events.withColumn("_next", F.lead("rank").over(own))
-    at = numbered.join(times, [obj, number]).select(F.col(obj).alias("object"), F.col("rank"), F.col(number).alias("_no"), "_taken")
+    at = numbered.select(F.col(obj).alias("object"), F.col("rank"), F.col(number).alias("_no"), F.col("taken").alias("_taken"))
     return (
         versions.join(at, ["object", "rank"])
         .join(at.select("object", F.col("rank").alias("_next"), F.col("_no").alias("_no1"), F.col("_taken").alias("_taken1")), ["object", "_next"], "left")

@@ -30,10 +30,10 @@ NAMES = {ADDED: "added", REMOVED: "removed", CHANGED: "changed"}
 
 
 def ordered_snapshots(rows: DataFrame, obj: str, number: str, taken_at: str) -> DataFrame:
-    """(obj, number, rank, last) of each snapshot, ``last`` being the object's number of snapshots: as many rows as deliveries, found by a map-side aggregate."""
+    """(obj, number, taken, rank, last) of each snapshot, ``last`` being the object's number of snapshots: as many rows as deliveries, found by a map-side aggregate."""
     firsts = rows.groupBy(obj, number).agg(F.min(taken_at).alias("_taken"))
     w = Window.partitionBy(obj)
-    return firsts.select(obj, number, F.row_number().over(w.orderBy("_taken", number)).alias("rank"), F.count("*").over(w).alias("last"))
+    return firsts.select(obj, number, F.col("_taken").alias("taken"), F.row_number().over(w.orderBy("_taken", number)).alias("rank"), F.count("*").over(w).alias("last"))
 
 
 def key_hashes(key: Column) -> list[Column]:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _OWN_DIRS: dict[str, str] = {}
 
@@ -47,9 +48,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes ``df`` to the shared folder and reads it again, so that lost executors cost no recomputation."""
+def materialise(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Cuts lineage: writes ``df`` to the shared folder and reads it again, so that lost executors cost no recomputation.
+
+    With ``partition``, a column of few values, a later filter on it reads only its files.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
+    schema = T.StructType([*(f for f in df.schema if f.name != partition), *(f for f in df.schema if f.name == partition)])
+    return spark.read.schema(schema).parquet(path)
