@@ -64,12 +64,11 @@ def ranks(df: DataFrame, columns: list[str]) -> list[Column]:
     steps = 1 << ZBITS
     shares = [i / steps for i in range(1, steps)]
     found = df.agg(*(F.percentile_approx(_scalar(df, c), shares, 10_000).alias(f"e{i}") for i, c in enumerate(columns))).first()
-    out = []
-    for i, c in enumerate(columns):
-        edges = sorted(set(found[i] or []))
-        value = _scalar(df, c)
-        out.append(F.coalesce(F.size(F.filter(F.array(*map(F.lit, edges)), lambda e, v=value: e <= v)), F.lit(0)) if edges else F.lit(0))
-    return out
+
+    def rank(value: Column, edges: list[float]) -> Column:
+        return F.coalesce(F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= value)), F.lit(0)) if edges else F.lit(0)
+
+    return [rank(_scalar(df, c), sorted(set(found[i] or []))) for i, c in enumerate(columns)]
 
 
 def zorder(table: VersionedTable, columns: list[str], files: int | None = None) -> int:
