@@ -9,10 +9,11 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.control.store import ControlStore
+from tidemark.control import drift
+from tidemark.control.store import ControlStore, SourceObject
 from tidemark.operators import cdc, conform, dedupe, privacy, quality, scd2, star, watermark
 from tidemark.plans import audit as audit_plan
-from tidemark.plans import kpi, runner
+from tidemark.plans import bronze, kpi, runner, silver
 from tidemark.plans.bronze import Lake
 from tidemark.runtime import new_path
 from tidemark.sources.seed import Seed
@@ -20,6 +21,7 @@ from tidemark.sources.source import FrameSource
 from tidemark.sources.tables import table
 from tidemark.storage import maintenance
 from tidemark.storage.table import VersionedTable
+from tidemark.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,6 +432,103 @@ def seed_order_items(spark: SparkSession, sf: str) -> DataFrame:
     return Seed(spark, 5000).table("order_items")
 
 
+# -- loads, one by one ------------------------------------------------------------------------
+
+
+def one_object(spark: SparkSession, name: str, strategy: str, keys: str, incremental: str | None = None, **settings) -> tuple[Lake, SourceObject, str]:
+    """A fresh lake with one object and a run."""
+    store = ControlStore()
+    store.migrate()
+    lake = Lake(spark, new_path(spark, "lake"), store)
+    ids = runner.register(store, "driver", [runner.CatalogEntry(name, strategy, keys, None, incremental)])
+    if settings:
+        store.update("source_object", {"id": ids[name]}, **settings)
+    store.insert("pipeline_run", run_id="r", pipeline_name="query", status="running", started_at="2024-01-01T00:00:00+00:00")
+    return lake, store.object(ids[name]), "r"
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, 'orders' AS _source FROM orders")
+def bronze_full_load(spark: SparkSession, sf: str) -> DataFrame:
+    lake, obj, run = one_object(spark, "orders", "full", "o_orderkey")
+    bronze.full_load(lake, FrameSource({"orders": table(spark, sf, "orders")}), obj, run)
+    return lake.table(obj.target_path).read().select("o_orderkey", "o_custkey", "o_orderstatus", "_source")
+
+
+@query(f"SELECT event_id FROM events WHERE ts <= TIMESTAMP '{MARK}' UNION ALL SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{MARK}') - INTERVAL {GRACE} SECOND")
+def bronze_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs: what the second reads again inside the grace window is appended again, and silver deduplicates it."""
+    lake, obj, run = one_object(spark, "events", "incremental", "event_id", "ts", watermark_grace=GRACE)
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for batch in (events.filter(F.col("ts") <= F.lit(at(MARK))), events):
+        bronze.incremental_load(lake, FrameSource({"events": batch}), obj, run)
+    return lake.table(obj.target_path).read().select("event_id")
+
+
+@query(
+    f"""WITH {_CHANGES} SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN 'F' ELSE s.o_orderstatus END AS o_orderstatus
+    FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) t FULL JOIN changes s ON s.o_orderkey = t.o_orderkey WHERE s.op IS DISTINCT FROM 'D'"""
+)
+def bronze_cdc_load(spark: SparkSession, sf: str) -> DataFrame:
+    lake, obj, run = one_object(spark, "orders", "cdc", "o_orderkey", "seq", cdc_operation_column="op")
+    changes = _changes(spark, sf)
+    first = table(spark, sf, "orders").filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit("I").alias("op"), F.lit("F").alias("o_orderstatus"), "o_totalprice", (F.col("o_orderkey") * 0).alias("seq"))
+    for batch in (first, changes):
+        bronze.cdc_load(lake, FrameSource({"orders": batch}), obj, run)
+    return lake.table(obj.target_path).read().select("o_orderkey", "o_orderstatus")
+
+
+def _silver_lineitem(spark: SparkSession, sf: str) -> Lake:
+    lake, obj, run = one_object(spark, "lineitem", "full", "l_orderkey, l_linenumber")
+    for r in RULES[1:4]:
+        lake.store.insert("dq_rule", id=r.id, source_object_id=obj.id, rule_type=r.rule_type, column_name=r.column, severity=r.severity, expression=r.expression)
+    unique = dedupe.latest_per_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+    bronze.full_load(lake, FrameSource({"lineitem": unique}), obj, run)
+    silver.build(lake, obj, run, at(_NOW))
+    return lake
+
+
+_KEPT = """kept AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1)"""
+_OUT = "(coalesce(l_quantity < 2 OR l_quantity > 48, false) OR coalesce(l_returnflag NOT IN ('A', 'N'), false))"
+
+
+@query(f"WITH {_KEPT} SELECT l_orderkey, l_linenumber, l_quantity FROM kept WHERE NOT {_OUT}")
+def silver_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver_lineitem(spark, sf).table("silver/lineitem").read().select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query(f"WITH {_KEPT} SELECT l_orderkey, l_linenumber, 'bronze/lineitem' AS _rejected_from FROM kept WHERE {_OUT}")
+def quarantine_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver_lineitem(spark, sf).table("quarantine/lineitem").read().select("l_orderkey", "l_linenumber", "_rejected_from")
+
+
+@query("SELECT * FROM (VALUES ('added', 'extra'), ('removed', 'o_orderdate'), ('retyped', 'o_custkey')) t(change_type, column_name)")
+def schema_compare(spark: SparkSession, sf: str) -> DataFrame:
+    old = table(spark, sf, "orders")
+    new = old.drop("o_orderdate").withColumns({"o_custkey": F.col("o_custkey").cast("string"), "extra": F.lit(1)})
+    found = drift.compare(drift.describe(old), drift.describe(new))
+    return spark.createDataFrame([(k, c) for k in ("added", "removed", "retyped") for c in getattr(found, k)], "change_type string, column_name string")
+
+
+@query(
+    f"""WITH {_TASKS}, p AS (SELECT run_id, arg_max(status, {{'s': started_at, 'n': run_no}}) AS status, min(started_at) AS started_at FROM once GROUP BY run_id)
+    SELECT p.run_id, CASE WHEN bool_or(t.status IN ('running', 'failed')) THEN 'failed' WHEN bool_or(t.status = 'quarantined') THEN 'quarantined' ELSE 'succeeded' END AS status FROM p JOIN task t USING (run_id)
+    WHERE p.status = 'running' AND p.started_at < TIMESTAMPTZ '{_NOW}+00' - INTERVAL 24 HOUR GROUP BY 1"""
+)
+def audit_abandoned(spark: SparkSession, sf: str) -> DataFrame:
+    return _control(spark, sf).abandoned(at(_NOW)).select("run_id", "status")
+
+
+@query("SELECT event_id, user_id FROM events")
+def stream_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The files of a table as a stream of micro-batches into a versioned table."""
+    events = table(spark, sf, "events")
+    out = VersionedTable(spark, new_path(spark, "streamed"))
+    # a pattern, since a stream refuses the plain path of one file
+    stream = ingest.parquet_stream(spark, f"{sf}/event[s].parquet", events.schema)
+    ingest.append_stream(stream, out, new_path(spark, "stream-state")).awaitTermination()
+    return out.read().select("event_id", "user_id")
+
+
 # -- figures ----------------------------------------------------------------------------------
 
 
