@@ -15,7 +15,6 @@ than any other. Ranks are found by radix descent over 21-bit digits, so that no
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window

@@ -14,8 +14,6 @@ before it. A bucket is held in memory as arrays; their number follows the input,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
