@@ -1,8 +1,13 @@
 import pytest
 
-from tidemark.llm.stuffing import StuffingLimits, block_ratio, judged, measure, skeleton
+from tidemark.llm.stuffing import StuffingLimits, common_words, judged, measure, script_of
 
 PROSE = "The load stopped after the second file because the key was not unique. We kept the older rows and wrote the reason to the log. Nobody had changed the table since the week before, so the team will look at the source when it is open again. "
+SUBJECTS = ["The nightly load", "Our oldest table", "A second team", "The row hash", "Nobody in the shop", "The last export", "Every new key", "This report"]
+VERBS = ["stopped after", "was compared with", "had moved", "will replace", "kept all of", "lost most of", "wrote over", "could not read"]
+OBJECTS = ["the rows of last week", "a file from the source", "the prices in the log", "two columns without names", "an order that was open", "the history of the seller"]
+TAILS = ["because the key was not unique", "when the disk filled up", "although nobody had changed it", "and the totals were right again", "before anyone looked at it"]
+VARIED = [" ".join(f"{SUBJECTS[(i * 3 + j * 5) % 8]} {VERBS[(i + j * 3) % 8]} {OBJECTS[(i * 5 + j) % 6]} {TAILS[(i + j * 2) % 5]}." for j in range(3 + i % 12)) for i in range(120)]
 KEYWORDS = "cheap door mat online best door mat buy cheap mat near me best online door mat buy " * 12
 FAKE = "Cheap door mat online best. Best online door mat buy! Near me cheap mat buy. Door mat cheap best online! " * 8
 LINKS = "\n".join(f"https://www.shop{i}.example/{i * 7}/item{i}.html" for i in range(40))
@@ -10,39 +15,64 @@ TAGS = ", ".join(f"new {a} {b}{i}" for i, (a, b) in enumerate([("lamp", "SKU"),
 HASHTAGS = " ".join(f"#word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(70))
 LOG = "\n".join(f"2024-01-{i % 28 + 1:02d} 10:{i % 60:02d}:07 INFO [run_{i:05d}] load.table rows={i * 37} the load of table {i} ended" for i in range(40))
 TABLE = "\n".join(f"| name{i} | {i * 31} | {i * 7} |" for i in range(40))
-CONTRACT = "system: shop\nobject: orders\ncolumns:\n" + "\n".join(f"  - name: column_{i}\n    type: string\n    nullable: true\n    description: The rows of the table that were loaded before the key was set." for i in range(20))
-ANNOTATED = "\n".join(f"https://www.site{i}.example/ - This is the page of the team that has the keys for table {i}." for i in range(20))
-CASES = {"keywords": KEYWORDS, "fake": FAKE, "links": LINKS, "tags": TAGS, "hashtags": HASHTAGS, "led": PROSE[:71] + KEYWORDS}
-NO_CASES = {"prose": PROSE * 4, "log": LOG, "table": TABLE, "contract": CONTRACT, "annotated": ANNOTATED, "tail": PROSE * 6 + TAGS[:200], "null": None, "empty": "", "blank": " \n\t", "short": "a b"}
+CONTRACT = "system: shop\nobject: orders\ncolumns:\n" + "\n".join(f"  - name: column_{i}\n    type: string\n    nullable: true\n    description: {VARIED[i + 12 * (i % 3)][:90]}." for i in range(20))
+ANNOTATED = "\n".join(f"https://www.site{i}.example/ - {VARIED[i + 20]}" for i in range(0, 20, 3))
+FOREIGN = {
+    "tr": "Dün akşam şehirdeki kütüphane, tadilatın ardından yeniden kapılarını açtı. Açılışa katılan okurlar, yeni okuma salonunun eskisine göre çok daha aydınlık olduğunu söyledi. Müdür, önümüzdeki ay çocuklar için bir kitap kulübü kurmayı planladıklarını belirtti.",
+    "pl": "Wczoraj wieczorem w naszym mieście otwarto nową bibliotekę, na którą mieszkańcy czekali kilka lat. Podczas uroczystości burmistrz podziękował wszystkim, którzy pomogli w budowie. Od przyszłego tygodnia czytelnia będzie czynna także w niedziele.",
+    "fi": "Kaupungin uusi kirjasto avattiin eilen illalla pitkän remontin jälkeen. Monet kävijät kehuivat valoisaa lukusalia ja hiljaisia työtiloja. Johtajan mukaan lapsille järjestetään syksyllä oma lukupiiri, johon voi ilmoittautua heti.",
+    "id": "Perpustakaan baru di kota kami dibuka kemarin malam setelah perbaikan yang panjang. Banyak pengunjung memuji ruang baca yang terang dan tenang. Menurut kepala perpustakaan, bulan depan akan ada klub buku untuk anak-anak.",
+    "hu": "Tegnap este megnyitották a város új könyvtárát, amelyre a lakók évek óta vártak. A látogatók szerint az olvasóterem sokkal világosabb lett, mint korábban volt. Az igazgató elmondta, hogy ősszel gyerekeknek szóló olvasókört indítanak.",
+    "sw": "Maktaba mpya ya mji wetu ilifunguliwa jana jioni baada ya matengenezo marefu. Wageni wengi walisifu ukumbi wa kusomea kwa kuwa na mwanga wa kutosha. Mkurugenzi alisema kwamba mwezi ujao kutakuwa na klabu ya vitabu kwa watoto.",
+}
+CHINESE = "便宜手机壳最好手机壳在线购买。" * 20
+SHOES = "the best shoes of the cheap shoes " * 40
+CASES = {"keywords": KEYWORDS, "fake": FAKE, "links": LINKS, "tags": TAGS, "hashtags": HASHTAGS, "led": PROSE[:71] + KEYWORDS, "shoes": SHOES, "brief": "buy mat " * 6}
+NO_CASES = {"prose": VARIED[11], "twice": PROSE * 2, "log": LOG, "table": TABLE, "contract": CONTRACT, "annotated": ANNOTATED, "tail": VARIED[10] + TAGS[:200], "null": None, "empty": "", "blank": " \n\t", "short": "a b"}
 
 
 @pytest.fixture(scope="module")
 def verdicts(spark):
-    data = [(k, t, None, 1) for k, t in {**CASES, **NO_CASES}.items()] + [("links", LINKS, None, 1)]
-    data += [(f"usual{i}", (PROSE * 4)[i % 50 : 200 + 13 * i], "en", 1) for i in range(70)]
+    data = [(k, t, "en", 1) for k, t in {**CASES, **NO_CASES}.items()] + [("links", LINKS, "en", 1), ("zh", CHINESE, "zh", 1)]
+    data += [(k, t, x, 1) for k, t in FOREIGN.items() for x in (k, None)]
+    data += [(f"usual{i}", VARIED[i], "en", 1) for i in range(len(VARIED))]
     df = spark.createDataFrame(data, "doc_id string, text string, lang string, ratio long")
     return judged(df, key="doc_id", text="text", lang="lang").collect()
 
 
 def test_cases_and_no_cases(verdicts):
-    assert sorted(r.doc_id for r in verdicts if r.stuffed) == sorted([*CASES, "links"])  # a repeated row comes out twice
+    assert sorted(r.doc_id for r in verdicts if r.stuffed) == sorted([*CASES, "links", "zh"])  # a repeated row comes out twice
 
 
 def test_every_row_is_judged(verdicts):
-    assert len(verdicts) == len(CASES) + len(NO_CASES) + 71
+    assert len(verdicts) == len(CASES) + len(NO_CASES) + 2 + 2 * len(FOREIGN) + len(VARIED)
 
 
-def test_whole_text_counts():
+def test_without_a_corpus(spark):
+    """With too few documents for any figure the fixed line holds."""
+    data = [(k, t, k) for k, t in FOREIGN.items()] + [("zh", CHINESE, "zh"), ("shoes", SHOES, None), ("prose", PROSE, None)]
+    got = judged(spark.createDataFrame(data, "doc_id string, text string, lang string"), key="doc_id", text="text", lang="lang").collect()
+    assert sorted(r.doc_id for r in got if r.stuffed) == ["shoes", "zh"]
+
+
+def test_whole_text_counts(spark):
     """Stuffing after a long beginning weighs as much as before it."""
-    a, b = measure(PROSE * 3 + KEYWORDS, 1000), measure(KEYWORDS + "\n" + PROSE * 3, 1000)
-    assert abs(a[0] - b[0]) < 0.05
-    long = measure(KEYWORDS * 400, 1000)
-    assert long[0] > 0.9 and long[2] < 0.05
+    data = [("a", VARIED[11] + KEYWORDS * 4, "en"), ("b", KEYWORDS * 4 + VARIED[11], "en"), ("c", " ".join(VARIED) + KEYWORDS * 4, "en"), ("d", KEYWORDS * 400, "en")]
+    got = {r.doc_id: r.stuffed for r in judged(spark.createDataFrame(data, "doc_id string, text string, lang string"), key="doc_id", text="text", lang="lang").collect()}
+    assert got == {"a": True, "b": True, "c": False, "d": True}
+
+
+def test_blocks_and_scripts():
+    limits = StuffingLimits(block=100)
+    blocks = measure("x" * 250, None, limits)
+    assert [b["chars"] for b in blocks] == [84, 84, 82] and all(b["ends"] == 0 and b["bones"] is not None for b in blocks)
+    assert measure("One two. Three four.", frozenset({"one"}), limits)[0]["ends"] == 2
+    assert [script_of(t) for t in ("", "abc é", "привет", "日本", "हिन्दी")] == [0, 0, 4, 0x2E, 9]
 
 
-def test_skeleton():
-    assert skeleton("The cat of https://a.example/x 12,5\n[a b](http://c.example)") == "the x of U 0\nU"
-    assert block_ratio("", 1000) == 1.0
+def test_common_words(spark):
+    df = spark.createDataFrame([(f"The x{i} word", "en") for i in range(40)] + [("der", "de")] * 3 + [(None, "en")], "text string, lang string")
+    assert common_words(df, "text", "lang", StuffingLimits()) == {"en": frozenset({"the", "word", "x"})}
 
 
 def test_empty_table(spark):

@@ -1,19 +1,28 @@
 """Pages of repeated keywords, link lists and tag lists instead of sentences.
 
-A text is cut into pieces at sentence ends and line breaks. What is neither a sentence nor a line with a form of its own (log line, table
-row, setting) remains. The remainder is cut into blocks and each block is compressed twice: as it is, and as its skeleton, in which words other than function
-words, numbers and links are one sign each. A list of tags or links looks varied as text but its skeleton is the same few signs again and again, so that its
-compressed size per byte of text falls far under that of prose, as that of repeated keywords does in either form. The ratio is divided by what texts made of
-sentences have at that length in that language, which is a median over the whole corpus. A page is found if the remainder is most of it, the
-normalised ratio is extreme, and few of its pieces end as sentences do.
+A text is cut into even blocks of at most ``block`` signs and each block is measured:
 
-A piece counts as a sentence only if it ends in sentence punctuation and, in Latin script, has several function words among its words: shuffled keywords with
-full stops have few. One function word is enough beside such a sentence.
+- ``bag``: the compressed size of its words in sorted order. Sorting takes away the order, so that keywords shuffled again and again compress as far as keywords repeated in order.
+- ``bones``: the compressed size of its skeleton, in which every link and every word that isn't common in the language is one sign. Lists of ever new links, tags or names look
+  varied as text, but their skeleton is the same few signs; digits stay as they are, so that log lines and tables of numbers keep what they say.
+- ``ends``: the sentence-ending marks, outside links.
+- ``digits``, outside links: where they are ``numbers`` of the signs, a block is a record of data (a log, a table), which is redundant for other reasons.
 
-Defined cases: null, empty and blank texts are never found; a null language is a language of its own; repeated rows are judged alike and each is returned; texts of any length are read whole, block by
-block; texts too short for a ratio (under ``least`` signs in the remainder) are not found.
+Which words are common is counted over the whole corpus, language by language; there is no word list, and a language too rare to be counted has none: its words all stay in the skeleton.
+Both sizes are set against what blocks of prose need at that length, in that language and script, which are medians over all blocks of the corpus that have sentence ends;
+a language or script with too few blocks falls back on the script, then on a fixed line. A block is stuffed if
 
-Scale: one narrow pass in Arrow batches gives a few numbers per document; only the medians, one row per language and length class, are gathered and joined back.
+- its bag is ``extreme``, whatever its punctuation; or
+- it is no record, its bag is ``redundant`` and sentence ends are either nearly missing or far denser than in the language's prose, as where keywords are dressed up as sentences; or
+- it is no record, its skeleton is ``listed`` and sentence ends are nearly missing.
+
+A page is found if more than ``share`` of its signs lie in stuffed blocks.
+
+Defined cases: null, empty and blank texts are never found; a null language is a language of its own; repeated rows are judged alike and each is returned; texts of any length are judged, and read
+whole; the other columns of the table stay out of the way, whatever their names; an empty table gives an empty result.
+
+Scale: common words are a map-side aggregate over (language, word); one narrow pass in Arrow batches gives a few numbers per block, and texts go no further. To the driver come
+at most ``words`` words of each language that has at least one document in ``rare`` (so at most ``rare`` languages), one median per length class and at most 47 rows of scripts.
 """
 
 from __future__ import annotations
@@ -23,145 +32,142 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.runtime import materialise
 
-#: Function words of the Latin-script languages; fixed values. Words that stuffed pages use as modifiers (in, en, how) are left out.
-FUNCTION_WORDS = frozenset(
-    """
-    the a an and or of to is was were are be been it its this that these those with for from on by at as but not no nor if then than so because
-    when while we you they he she there their our your who what why which had has have do does did will would can could should each every all some any
-    both after before between through since until one two three
-    o os um uma e em do da dos das na nos nas por para com que não se mas ou é foi são ao à pelo pela já ainda mesmo quando porque pois embora até
-    el la los las un una y del al con pero es fue son ya aún también cuando aunque desde hasta lo sin
-    der die das den dem des ein eine einer einem einen und oder zu im am bei auf mit von für nicht ist war sind wurde noch auch als wenn weil da
-    obwohl nachdem es sich nach bis wieder
-    le les et est dans pour pas sur il
-    """.split()
-)
-
-_TOKEN = re.compile(r"(?P<a><a\b[^>]*>.*?</a>|\[[^\]\n]*\]\([^)\s]*\))|(?P<u>(?:https?://|www\.)\S+)|(?P<w>[^\W\d_]+(?:['’][^\W\d_]+)*)|(?P<n>\d[\d.,:]*)|(?P<s>\s+)|(?P<p>.)", re.S | re.I)
-_PIECE = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|(?<=[。।؟！？])\s*")
-_END = re.compile(r"[.!?…。।؟！？][\"')\]]*\s*$")
-_FORMED = re.compile(r"^\s*(?:\d{4}-\d\d-\d\d[T ]\d\d:\d\d|\|.*\|\s*$|(?:- )?[A-Za-z_]+:\s+\S+\s*$|(?:- )?\w+:\s*$)")
-_OTHER_SCRIPT = re.compile(r"[^\W\d_A-Za-zÀ-ɏ]")
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_SPACE = re.compile(r"\s+")
+_LINK = re.compile(r"<a\b[^>]*>.*?</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+", re.S | re.I)
+_WORD = re.compile(r"\w+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_DIGIT = re.compile(r"\d")
+_END = re.compile(r"[.!?…](?=[\"'”»)\]]*(?:\s|$))|[。！？؟।]")
 _HEADER = 8  # bytes that any compressed block has
+_OTHER = 0x2E  # scripts from here on count as one
 
 
 @dataclass(frozen=True)
 class StuffingLimits:
     block: int = 1000
-    share: float = 0.5  # of a page's signs that must be left over
-    ratio: float = 0.6  # of the usual ratio
-    least: int = 20
-    least_docs: int = 30  # behind a median of a language and length
-
-
-def sentence_strength(piece: str) -> int:
-    """2 for a sentence, 1 for what is one beside a sentence, 0 for anything else."""
-    if not _END.search(piece):
-        return 0
-    if len(_OTHER_SCRIPT.findall(piece)) > len(piece) / 3:
-        return 2
-    words = [w.lower() for w in _WORD.findall(piece)]
-    function = [w for w in words if w in FUNCTION_WORDS]
-    if len(words) >= 4 and len(set(function)) >= 2 and len(function) >= 0.2 * len(words):
-        return 2
-    return int(len(words) >= 3 and len(function) >= 1)
-
-
-def sentences_of(pieces: list[str]) -> list[bool]:
-    strength = [sentence_strength(p) for p in pieces]
-    near = lambda i: 2 in strength[max(i - 1, 0) : i + 2]
-    return [s == 2 or (s == 1 and near(i)) for i, s in enumerate(strength)]
-
-
-def skeleton(text: str) -> str:
-    out = []
-    for m in _TOKEN.finditer(text):
-        kind, v = m.lastgroup, m.group()
-        if kind == "w":
-            v = v.lower()
-            out.append(v if v in FUNCTION_WORDS else "x")
-        elif kind in "au":
-            out.append("U")
-        elif kind == "n":
-            out.append("0")
-        elif kind == "s":
-            out.append("\n" if "\n" in v else " ")
-        else:
-            out.append(v)
-    return "".join(out)
-
-
-def block_ratio(text: str, block: int) -> float:
-    """Compressed skeleton bytes per byte of text over all blocks, or the raw ratio scaled to it where that is more extreme."""
-    raw = size = bones = 0
-    for i in range(0, len(text), block):
-        b = text[i : i + block].encode()
-        size += len(b)
-        raw += max(len(zlib.compress(b, 6)) - _HEADER, 1)
-        bones += max(len(zlib.compress(skeleton(text[i : i + block]).encode(), 6)) - _HEADER, 1)
-    return min(bones / size, raw / size) if size else 1.0
-
-
-def measure(text: str | None, block: int) -> tuple[float, float, float, int]:
-    """(share left over, share of sentences, ratio, length the ratio was taken of); the ratio is that of the remainder, or of the whole text where most of it are sentences."""
+    share: float = 0.5  # of a page's signs
+    extreme: float = 0.2  # of the usual size
+    redundant: float = 0.68
+    listed: float = 0.72
+    few_ends: float = 0.3  # of the usual density of sentence ends
+    many_ends: float = 1.4
+    numbers: float = 0.17  # of a block's signs
+    prose_span: int = 120  # signs for one sentence end in what counts as prose
+    common: float = 0.1  # of a language's documents
+    words: int = 500  # common words of a language
+    rare: int = 2000
+    least: int = 30  # documents or blocks behind a figure
+
+
+def _size(data: str) -> int:
+    return max(len(zlib.compress(data.encode(errors="replace"), 1)) - _HEADER, 1)
+
+
+def script_of(text: str) -> int:
+    """The 256-sign page of the median letter's code point: 0 for Latin, 4 for Cyrillic and so on."""
+    points = np.frombuffer(text.encode("utf-32-le", errors="replace"), np.uint32)
+    points = points[points > 64]
+    page = int(np.median(points)) >> 8 if len(points) else 0
+    return 0 if page <= 2 else min(page, _OTHER)
+
+
+def measure(text: str | None, common: frozenset[str] | None, limits: StuffingLimits) -> list[dict]:
+    """One dict per block: chars, ends, digits, bag, bones. Where there are sentence ends enough for prose the skeleton isn't looked at and bones is null."""
     if text is None or not text.strip():
-        return 0.0, 0.0, 1.0, 0
-    total, sentences, rest, left = len(_SPACE.sub("", text)), 0, [], 0
-    for line in text.splitlines():
-        if _FORMED.match(line):
-            continue
-        kept = []
-        pieces = [p for p in _PIECE.split(line) if p and not p.isspace()]
-        for piece, whole in zip(pieces, sentences_of(pieces), strict=True):
-            n = len(_SPACE.sub("", piece))
-            if whole:
-                sentences += n
-            else:
-                kept.append(piece)
-                left += n
-        if kept:
-            rest.append(" ".join(kept))
-    judged = text if sentences >= total / 2 else "\n".join(rest).strip()
-    return left / total, sentences / total, block_ratio(judged, block), len(judged)
+        return []
+    step, out = -(-len(text) // -(-len(text) // limits.block)), []
+    for i in range(0, len(text), step):
+        plain = _LINK.sub("\x01", text[i : i + step])
+        ends = len(_END.findall(plain))
+        bag, bones = _size(" ".join(sorted(_WORD.findall(text[i : i + step].lower())))), None
+        if ends * limits.prose_span < len(text[i : i + step]):
+            bones = _size(plain if common is None else _LETTERS.sub(lambda m: m.group() if m.group().lower() in common else "x", plain))
+        out.append({"chars": len(text[i : i + step]), "ends": ends, "digits": len(_DIGIT.findall(plain)), "bag": bag, "bones": bones})
+    return out
+
+
+def common_words(docs: DataFrame, text: str, lang: str, limits: StuffingLimits) -> dict[str, frozenset[str]]:
+    """The words that at least ``common`` of a language's documents hold, for each language that isn't rare."""
+    rows = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(text).alias("text")).filter("text is not null")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    held = rows.select("lang", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("k"))
+    known = sizes.filter((F.col("n") >= limits.least) & (F.col("n") * limits.rare >= total))
+    usual = held.join(known, "lang").filter(F.col("k") >= F.col("n") * limits.common)
+    top = Window.partitionBy("lang").orderBy(F.desc("k"), "word")
+    found = usual.withColumn("_at", F.row_number().over(top)).filter(F.col("_at") <= limits.words).groupBy("lang").agg(F.collect_list("word").alias("words")).collect()
+    return {r["lang"]: frozenset(r["words"]) for r in found}
+
+
+_BLOCK = T.StructType([T.StructField(n, T.IntegerType()) for n in ("chars", "ends", "digits", "bag", "bones")])
+_ARROW_BLOCKS = pa.list_(pa.struct([(n, pa.int32()) for n in _BLOCK.names]))
 
 
 def measures(docs: DataFrame, *, key: str, text: str, lang: str, limits: StuffingLimits) -> DataFrame:
-    """(key, lang, left, sentences, ratio, length class) of each row."""
+    """(key, lang, script, blocks) of each row."""
+    words = docs.sparkSession.sparkContext.broadcast(common_words(docs, text, lang, limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.value
         for b in batches:
-            found = [measure(t, limits.block) for t in b.column(2).to_pylist()]
-            cols = list(zip(*found, strict=True)) if found else [(), (), (), ()]
-            numbers = [pa.array(c, pa.float64()) for c in cols[:3]]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *numbers, pa.array([n.bit_length() for n in cols[3]], pa.int32()), pa.array(cols[3], pa.int64())], names=["key", "lang", "left", "sentences", "ratio", "size", "length"])
+            texts, langs = b.column(2).to_pylist(), b.column(1).to_pylist()
+            found = [measure(t, known.get(x), limits) for t, x in zip(texts, langs, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([script_of(t or "") for t in texts], pa.int32()), pa.array(found, _ARROW_BLOCKS)], names=["key", "lang", "script", "blocks"])
 
-    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("lang", T.StringType()), *(T.StructField(n, T.DoubleType()) for n in ("left", "sentences", "ratio")), T.StructField("size", T.IntegerType()), T.StructField("length", T.LongType())])
+    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("lang", T.StringType()), T.StructField("script", T.IntegerType()), T.StructField("blocks", T.ArrayType(_BLOCK))])
     return docs.select(key, F.coalesce(F.col(lang), F.lit("")), text).mapInArrow(run, schema)
 
 
-def usual_ratios(found: DataFrame, by: list[str], least_docs: int) -> DataFrame:
-    """The median ratio of texts made of sentences."""
-    prose = found.filter("sentences >= 0.5 and length > 0")
-    return prose.groupBy(*by).agg(F.percentile_approx("ratio", 0.5, 10_000).alias("usual"), F.count("*").alias("n")).filter(F.col("n") >= least_docs).drop("n")
+def _bits(chars: Column) -> Column:
+    """The length class of a block: how many binary digits its length has."""
+    return (F.floor(F.log2(F.greatest(chars, F.lit(1)))) + 1).cast("int")
+
+
+def _by(values: dict, key: Column) -> Column:
+    return F.create_map(*(x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))))[key] if values else F.lit(None).cast("double")
+
+
+def with_usual(found: DataFrame, limits: StuffingLimits) -> DataFrame:
+    """``found`` with ``factor``, what a language and script need relative to the usual at any length, ``density`` of its sentence ends, and ``by_length``, the usual by length class."""
+    blocks = found.select("lang", "script", F.explode("blocks").alias("b")).select("lang", "script", "b.*").filter(F.col("ends") * limits.prose_span >= F.col("chars"))
+    ratio = F.col("bag") / F.col("chars")
+    median = lambda c: F.percentile_approx(c, 0.5, 10_000)
+    enough = F.col("n") >= limits.least
+    lengths = {r["bits"]: r["usual"] for r in blocks.groupBy(_bits(F.col("chars")).alias("bits")).agg(median(ratio).alias("usual"), F.count("*").alias("n")).filter(enough).collect()}
+    line = lambda bits: F.lit(1.2) - F.lit(0.075) * bits  # noqa: E731 - what prose needs where the corpus is too small to tell
+    usual = lambda chars: F.coalesce(_by(lengths, _bits(chars)), line(_bits(chars)))
+    figures = [median(ratio / usual(F.col("chars"))).alias("factor"), median(F.col("ends") / F.col("chars")).alias("density"), F.count("*").alias("n")]
+    scripts = {r["script"]: r for r in blocks.groupBy("script").agg(*figures).filter(enough).collect()}  # at most 47 rows
+    fine = blocks.groupBy("lang", "script").agg(*figures).filter(enough).drop("n")
+    rough = lambda c: _by({k: r[c] for k, r in scripts.items()}, F.col("script"))
+    both = found.join(fine, ["lang", "script"], "left")
+    return both.withColumns({"factor": F.coalesce("factor", rough("factor"), F.lit(1.0)), "density": F.coalesce("density", rough("density"), F.lit(1 / 75)), "blocks": F.transform("blocks", lambda b: b.withField("usual", usual(b["chars"])))})
 
 
 def judged(docs: DataFrame, *, key: str, text: str, lang: str, limits: StuffingLimits = StuffingLimits()) -> DataFrame:
-    """(key, left, sentences, ratio, normalised, stuffed) of each row."""
-    found = materialise(measures(docs, key=key, text=text, lang=lang, limits=limits), "stuffing")
-    fine = usual_ratios(found, ["lang", "size"], limits.least_docs)
-    rough = usual_ratios(found, ["size"], limits.least_docs).withColumnRenamed("usual", "usual_size")
-    whole = found.filter("sentences >= 0.5 and length > 0").agg(F.percentile_approx("ratio", 0.5, 10_000)).first()[0]
-    both = found.join(fine, ["lang", "size"], "left").join(rough, "size", "left")
-    usual = F.coalesce("usual", "usual_size", F.lit(whole), F.lit(0.2))
-    normal = F.col("ratio") / usual
-    stuffed = (F.col("left") > limits.share) & (F.col("sentences") < limits.share) & (F.col("length") >= limits.least) & (normal <= limits.ratio)
-    return both.select(F.col("key").alias(key), "left", "sentences", "ratio", normal.alias("normalised"), stuffed.alias("stuffed"))
+    """(key, stuffed_share, normalised, ends, stuffed) of each row: the share of its signs in stuffed blocks, its bag and its sentence ends relative to the usual."""
+    found = with_usual(materialise(measures(docs, key=key, text=text, lang=lang, limits=limits), "stuffing"), limits)
+    usual = lambda b: b["usual"] * b["chars"] * F.col("factor")
+    ends = lambda b: b["ends"] / b["chars"] / F.col("density")
+
+    def stuffed(b: Column) -> Column:
+        few = ends(b) <= limits.few_ends
+        bag = b["bag"] / usual(b)
+        listed = F.coalesce(b["bones"] / usual(b) <= limits.listed, F.lit(False))
+        return (bag <= limits.extreme) | ((b["digits"] < limits.numbers * b["chars"]) & (((bag <= limits.redundant) & (few | (ends(b) >= limits.many_ends))) | (few & listed)))
+
+    total = lambda what: F.aggregate("blocks", F.lit(0.0), lambda s, b: s + what(b))
+    sums = found.select(
+        F.col("key").alias(key), total(lambda b: b["chars"].cast("double")).alias("_chars"), total(lambda b: F.when(stuffed(b), b["chars"].cast("double")).otherwise(0.0)).alias("_stuffed"),
+        total(lambda b: b["bag"].cast("double")).alias("_bag"), total(usual).alias("_usual"), (total(lambda b: b["ends"].cast("double")) / F.col("density")).alias("_ends"),
+    )
+    some = lambda c: F.when(F.col("_chars") > 0, c)
+    share = F.coalesce(some(F.col("_stuffed") / F.col("_chars")), F.lit(0.0))
+    return sums.select(key, share.alias("stuffed_share"), some(F.col("_bag") / F.col("_usual")).alias("normalised"), some(F.col("_ends") / F.col("_chars")).alias("ends"), (share > limits.share).alias("stuffed"))
