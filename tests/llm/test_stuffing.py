@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.llm.stuffing import StuffingLimits, common_words, judged, measure, script_of
+from tidemark.llm.stuffing import Skeletons, StuffingLimits, common_words, judged, measure, script_of
 
 PROSE = "The load stopped after the second file because the key was not unique. We kept the older rows and wrote the reason to the log. Nobody had changed the table since the week before, so the team will look at the source when it is open again. "
 SUBJECTS = ["The nightly load", "Our oldest table", "A second team", "The row hash", "Nobody in the shop", "The last export", "Every new key", "This report"]
@@ -65,8 +65,10 @@ def test_whole_text_counts(spark):
 def test_blocks_and_scripts():
     limits = StuffingLimits(block=100)
     blocks = measure("x" * 250, None, limits)
-    assert [b["chars"] for b in blocks] == [84, 84, 82] and all(b["ends"] == 0 and b["bones"] is not None for b in blocks)
-    assert measure("One two. Three four.", frozenset({"one"}), limits)[0]["ends"] == 2
+    assert [b[0] for b in blocks] == [84, 84, 82] and all(b[1] == 0 and b[4] is not None for b in blocks)
+    assert measure("One two. Three 4567.", Skeletons(frozenset({"one"})), limits)[0][:3] == (20, 2, 0)
+    assert measure("no 12 ends 3", None, limits)[0][:3] == (12, 0, 3)
+    assert Skeletons(frozenset({"the", "of"})).of("The cat of \x01 12,5 x") == "The x of \x01 12,5 x"
     assert [script_of(t) for t in ("", "abc é", "привет", "日本", "हिन्दी")] == [0, 0, 4, 0x2E, 9]
 
 

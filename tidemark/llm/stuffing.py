@@ -13,8 +13,8 @@ Both sizes are set against what blocks of prose need at that length, in that lan
 a language or script with too few blocks falls back on the script, then on a fixed line. A block is stuffed if
 
 - its bag is ``extreme``, whatever its punctuation; or
-- it is no record, its bag is ``redundant`` and sentence ends are either nearly missing or far denser than in the language's prose, as where keywords are dressed up as sentences; or
-- it is no record, its skeleton is ``listed`` and sentence ends are nearly missing.
+- its bag is ``redundant`` and sentence ends are far denser than in the language's prose, as where keywords are dressed up as sentences; or
+- sentence ends are nearly missing, it is no record, and its bag is ``redundant`` or its skeleton ``listed``.
 
 A page is found if more than ``share`` of its signs lie in stuffed blocks.
 
@@ -31,6 +31,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ from tidemark.runtime import materialise
 
 _LINK = re.compile(r"<a\b[^>]*>.*?</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+", re.S | re.I)
 _WORD = re.compile(r"\w+")
-_LETTERS = re.compile(r"[^\W\d_]+")
-_DIGIT = re.compile(r"\d")
+_RUN = re.compile(r"[^\W\d_]+|[\W\d_]+")
+_DIGITS = re.compile(r"\d+")
 _END = re.compile(r"[.!?…](?=[\"'”»)\]]*(?:\s|$))|[。！？؟।]")
 _HEADER = 8  # bytes that any compressed block has
 _OTHER = 0x2E  # scripts from here on count as one
@@ -72,24 +73,47 @@ def _size(data: str) -> int:
 
 def script_of(text: str) -> int:
     """The 256-sign page of the median letter's code point: 0 for Latin, 4 for Cyrillic and so on."""
+    if text.isascii():
+        return 0
     points = np.frombuffer(text.encode("utf-32-le", errors="replace"), np.uint32)
     points = points[points > 64]
     page = int(np.median(points)) >> 8 if len(points) else 0
     return 0 if page <= 2 else min(page, _OTHER)
 
 
-def measure(text: str | None, common: frozenset[str] | None, limits: StuffingLimits) -> list[dict]:
-    """One dict per block: chars, ends, digits, bag, bones. Where there are sentence ends enough for prose the skeleton isn't looked at and bones is null."""
+class Skeletons(dict):
+    """What stands for a run of letters or of other signs in the skeleton: itself where it is common or no word, else one sign. Runs are kept once met, up to KEPT of them."""
+
+    KEPT = 200_000
+
+    def __init__(self, common: frozenset[str]):
+        super().__init__()
+        self.common = common
+
+    def __missing__(self, run: str) -> str:
+        if len(self) >= self.KEPT:
+            self.clear()
+        out = self[run] = "x" if run[0].isalpha() and run.lower() not in self.common else run
+        return out
+
+    def of(self, text: str) -> str:
+        return "".join(map(self.__getitem__, _RUN.findall(text)))
+
+
+def measure(text: str | None, skeletons: Skeletons | None, limits: StuffingLimits) -> list[tuple[int, int, int, int, int | None]]:
+    """(chars, ends, digits, bag, bones) of each block. Where there are sentence ends enough for prose neither digits nor the skeleton matter: 0 and null."""
     if text is None or not text.strip():
         return []
     step, out = -(-len(text) // -(-len(text) // limits.block)), []
     for i in range(0, len(text), step):
-        plain = _LINK.sub("\x01", text[i : i + step])
+        block = text[i : i + step]
+        low = block.lower()
+        plain = _LINK.sub("\x01", block) if "//" in block or "www." in low or "](" in block or "<a" in low else block
         ends = len(_END.findall(plain))
-        bag, bones = _size(" ".join(sorted(_WORD.findall(text[i : i + step].lower())))), None
-        if ends * limits.prose_span < len(text[i : i + step]):
-            bones = _size(plain if common is None else _LETTERS.sub(lambda m: m.group() if m.group().lower() in common else "x", plain))
-        out.append({"chars": len(text[i : i + step]), "ends": ends, "digits": len(_DIGIT.findall(plain)), "bag": bag, "bones": bones})
+        digits, bones = 0, None
+        if ends * limits.prose_span < len(block):
+            digits, bones = sum(map(len, _DIGITS.findall(plain))), _size(plain if skeletons is None else skeletons.of(plain))
+        out.append((len(block), ends, digits, _size(" ".join(sorted(_WORD.findall(low)))), bones))
     return out
 
 
@@ -107,7 +131,6 @@ def common_words(docs: DataFrame, text: str, lang: str, limits: StuffingLimits)
 
 
 _BLOCK = T.StructType([T.StructField(n, T.IntegerType()) for n in ("chars", "ends", "digits", "bag", "bones")])
-_ARROW_BLOCKS = pa.list_(pa.struct([(n, pa.int32()) for n in _BLOCK.names]))
 
 
 def measures(docs: DataFrame, *, key: str, text: str, lang: str, limits: StuffingLimits) -> DataFrame:
@@ -115,11 +138,14 @@ def measures(docs: DataFrame, *, key: str, text: str, lang: str, limits: Stuffin
     words = docs.sparkSession.sparkContext.broadcast(common_words(docs, text, lang, limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words.value
+        known = {x: Skeletons(w) for x, w in words.value.items()}
         for b in batches:
             texts, langs = b.column(2).to_pylist(), b.column(1).to_pylist()
             found = [measure(t, known.get(x), limits) for t, x in zip(texts, langs, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([script_of(t or "") for t in texts], pa.int32()), pa.array(found, _ARROW_BLOCKS)], names=["key", "lang", "script", "blocks"])
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)]).astype(np.int32)
+            figures = list(zip(*chain.from_iterable(found), strict=True)) or [()] * len(_BLOCK)
+            blocks = pa.StructArray.from_arrays([pa.array(f, pa.int32()) for f in figures], names=_BLOCK.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([script_of(t or "") for t in texts], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), blocks)], names=["key", "lang", "script", "blocks"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("lang", T.StringType()), T.StructField("script", T.IntegerType()), T.StructField("blocks", T.ArrayType(_BLOCK))])
     return docs.select(key, F.coalesce(F.col(lang), F.lit("")), text).mapInArrow(run, schema)
@@ -161,7 +187,9 @@ def judged(docs: DataFrame, *, key: str, text: str, lang: str, limits: StuffingL
         few = ends(b) <= limits.few_ends
         bag = b["bag"] / usual(b)
         listed = F.coalesce(b["bones"] / usual(b) <= limits.listed, F.lit(False))
-        return (bag <= limits.extreme) | ((b["digits"] < limits.numbers * b["chars"]) & (((bag <= limits.redundant) & (few | (ends(b) >= limits.many_ends))) | (few & listed)))
+        record = b["digits"] >= limits.numbers * b["chars"]
+        redundant = bag <= limits.redundant
+        return (bag <= limits.extreme) | (redundant & (ends(b) >= limits.many_ends)) | (few & ~record & (redundant | listed))
 
     total = lambda what: F.aggregate("blocks", F.lit(0.0), lambda s, b: s + what(b))
     sums = found.select(
