@@ -279,6 +279,17 @@ def test_stream_appends_each_batch_once(spark, tmp_path):
     assert table.read().count() == 10 and table.version() == 1
 
 
+def test_streams_into_one_table_have_their_own_numbers(spark, tmp_path):
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    for name in ("a", "b"):
+        spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        for _ in range(2):
+            append_stream(parquet_stream(spark, f"{tmp_path}/{name}", spark.range(1).schema, 1), table, f"{tmp_path}/cp-{name}").awaitTermination()
+    assert table.read().count() == 20
+    table.append(spark.range(10).toDF("id"), batch=(f"{tmp_path}/cp-a", 0))  # a replay of a committed batch
+    assert table.read().count() == 20 and table.version() == 1
+
+
 def test_shared_folder(spark, monkeypatch):
     from tidemark import runtime
 

@@ -137,6 +137,21 @@ cur AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY source_object_id
 _P5 = _P5_BASE + "SELECT source_object_id, change_no FROM cur WHERE NOT del"
 _P5_CURRENT = _P5_BASE + "SELECT source_object_id, change_no, customer_id, customer_state, customer_city, customer_zip_prefix FROM cur WHERE NOT del"
 
+_P5_BUCKETS = (
+    _P5_BASE
+    + """, e AS (SELECT min(arrived_at) AS a, max(arrived_at) AS b FROM customer_changes),
+m AS (SELECT quantile_disc(load_order, 0.5) AS mid FROM source_object WHERE id IN (SELECT source_object_id FROM customer_changes)),
+b AS (SELECT c.source_object_id AS o, k, CASE WHEN epoch_us(arrived_at) <= epoch_us(a) + (epoch_us(b) - epoch_us(a)) * 9 / 10 THEN 0 WHEN load_order <= mid THEN 1 ELSE 2 END AS batch,
+    coalesce('v' || k.i, 'n') || CASE WHEN contains(primary_key_columns, 'customer_state') THEN chr(31) || coalesce('v' || k.s, 'n') ELSE '' END AS txt
+  FROM c JOIN source_object s ON s.id = c.source_object_id, e, m),
+first AS (SELECT o, min(batch) AS fb FROM b GROUP BY 1),
+sizes AS (SELECT b.o, greatest(1, -(-count(DISTINCT k) // 100000)) AS n FROM b JOIN first ON first.o = b.o AND batch = fb GROUP BY 1),
+hit AS (SELECT DISTINCT batch, b.o, CAST('0x' || substr(md5(txt), 1, 15) AS BIGINT) % n AS h FROM b JOIN sizes ON sizes.o = b.o)
+SELECT x.batch::BIGINT AS batch, (SELECT count(*) FROM hit WHERE hit.batch = x.batch) AS touched,
+  (SELECT count(*) FROM (SELECT DISTINCT o, h FROM hit WHERE hit.batch < x.batch EXCEPT SELECT o, h FROM hit WHERE hit.batch = x.batch)) AS kept
+FROM (SELECT DISTINCT batch FROM hit) x"""
+)
+
 _P7 = r"""
 WITH once AS (SELECT row_no, source_object_id, arrived_at FROM shop_orders
   QUALIFY row_number() OVER (PARTITION BY source_object_id, order_id, regexp_replace(customer_id, '^\s+|\s+$', '', 'g'), order_status, purchased_at, delivered_at, updated_at ORDER BY arrived_at, row_no) = 1),
@@ -157,5 +172,5 @@ SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_
 
 ORACLES = {
     "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p3_found": _P3, "p3_counts": _P3_COUNTS,
-    "p4_found": _P4, "p5_found": _P5, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7, "p7_runs": _P7_RUNS,
+    "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }

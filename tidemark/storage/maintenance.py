@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.storage.fs import Files
-from tidemark.storage.table import Entry, VersionedTable
+from tidemark.storage.table import LAYOUT, Entry, VersionedTable
 
 TARGET, SMALL = 128 << 20, 16 << 20
 RETENTION_HOURS = 168
@@ -30,14 +30,14 @@ def file_stats(table: VersionedTable, small: int = SMALL) -> FileStats:
 
 
 def compact(table: VersionedTable, target: int = TARGET) -> int:
-    """Rewrites files under the target size into ones about that large; larger files stay. Nothing to merge, no commit."""
+    """Rewrites files under the target size into ones about that large; larger files, and the files of buckets, stay. Nothing to merge, no commit."""
     m = table.manifest()
-    small = [f for f in m.files if f.bytes < target]
+    small = [f for f in m.files if f.bytes < target and f.bucket is None]
     wanted = max(1, -(-sum(f.bytes for f in small) // target))
     if len(small) <= wanted:
         return m.version
     merged = table.stage(table._frame(m.struct, [f.path for f in small]).coalesce(wanted))
-    return table.commit(m.version, "compact", m.struct, [*(f for f in m.files if f.bytes >= target), *merged], {"merged": len(small), "into": len(merged)})
+    return table.commit(m.version, "compact", m.struct, [*(f for f in m.files if f not in small), *merged], {"merged": len(small), "into": len(merged)})
 
 
 def z_value(columns: list[Column]) -> Column:
@@ -81,7 +81,7 @@ def zorder(table: VersionedTable, columns: list[str], files: int | None = None)
     n = files or max(1, -(-sum(f.bytes for f in m.files) // TARGET))
     z = z_value(ranks(df, columns))
     staged = table.stage(df.withColumn("__z", z).repartitionByRange(n, "__z").sortWithinPartitions("__z").drop("__z"))
-    return table.commit(m.version, "zorder", m.struct, with_stats(table, m.struct, staged, columns), {"columns": columns})
+    return table.commit(m.version, "zorder", m.struct, with_stats(table, m.struct, staged, columns), {"columns": columns}, {k: v for k, v in m.properties.items() if k != LAYOUT})
 
 
 def with_stats(table: VersionedTable, schema: T.StructType, files: list[Entry], columns: list[str]) -> list[Entry]:
@@ -110,8 +110,8 @@ def vacuum(table: VersionedTable, hours: float = RETENTION_HOURS, dry_run: bool
     kept = [m for i, m in enumerate(history) if m.ts >= edge or i == len(history) - 1]
     # a version holds until the next one, so the last one before the edge is needed too
     before = [m for m in history if m.ts < edge]
-    live = {f.path for m in [*kept, *before[-1:]] for f in m.files}
-    dead = [f.path for f in table.files.walk(f"{table.root}/data") if f.path not in live and f.modified_ms / 1000 < edge]
+    live = {table.relative(f.path) for m in [*kept, *before[-1:]] for f in m.files}
+    dead = [f.path for f in table.files.walk(f"{table.root}/data") if table.relative(f.path) not in live and f.modified_ms / 1000 < edge]
     if not dry_run:
         for path in dead:
             table.files.delete(path)

@@ -15,12 +15,11 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, files
 
 
 def append_stream(stream: DataFrame, table: VersionedTable, checkpoint: str) -> StreamingQuery:
-    """Appends what has arrived, then stops. A batch that was committed before a crash is known by its number and not appended again."""
+    """Appends what has arrived, then stops. A batch that was committed before a crash is known by its stream (the checkpoint) and number and not appended again;
+    other streams into the same table have their own numbers."""
 
     def write(batch: DataFrame, number: int) -> None:
-        done = {m.metrics.get("batch") for m in table.history()} if table.exists() else set()
-        if number not in done:
-            table.append(batch, merge_schema=True, metrics={"batch": number})
+        table.append(batch, merge_schema=True, batch=(checkpoint, number))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
