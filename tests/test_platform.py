@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.control import contracts, drift
 from tidemark.control.store import TABLES, ControlStore
-from tidemark.plans import audit, bronze, classify, replay, runner
+from tidemark.plans import audit, bronze, classify, replay, runner, silver
 from tidemark.plans.bronze import Lake
 from tidemark.plans.lineage import Lineage
 from tidemark.operators.privacy import Proposal
 from tidemark.sources.seed import Seed
 from tidemark.sources.source import FilteringSource, FrameSource, IncrementalSource, ParquetSource, Source
 from tidemark.storage import maintenance
+from tidemark.storage.keyed import KeyedTable, LayoutError
 from tidemark.storage.table import CommitConflict, VersionedTable
 from tidemark.streaming.ingest import append_stream, parquet_stream
 
@@ -145,7 +146,7 @@ def test_full_load_and_drift(spark, lake):
     table = lake.table(obj.target_path)
     assert table.version() == 1 and {"_ingested_at", "_run_id", "_source"} <= set(table.read().columns) and bronze.latest_run_id(table.read()) == rid
     assert [r["version"] for r in lake.store.rows("SELECT version FROM schema_version WHERE is_current = 1")] == [2]
-    assert lake.store.derived_status(rid) == "failed" and [e["event"] for e in lake.lineage.events()].count("COMPLETE") == 2
+    assert lake.store.derived_status(rid) == "failed" and [e["event"] for e in lake.lineage.events()] == ["START", "COMPLETE"] * 2 + ["START", "FAIL"] * 2
 
 
 def test_incremental_load(spark, lake):
@@ -194,6 +195,36 @@ def test_cdc_load(spark, lake):
     assert rows(lake.table(obj.target_path).read().select("id", "city")) == [("a", "norte"), ("d", "n")]
 
 
+def test_cdc_batches_write_only_touched_buckets(spark, lake, monkeypatch):
+    monkeypatch.setattr(KeyedTable.__init__, "__defaults__", (10,))
+    obj = entry(lake, strategy="cdc", incremental_column="seq")
+    load = lambda data: bronze.cdc_load(lake, FrameSource({"orders": spark.createDataFrame(data, "id long, city string, seq long")}), obj, rid)
+    with lake.store.run("t") as rid:
+        load([(i, "a", 1) for i in range(100)])
+        first = {f.path for f in lake.table(obj.target_path).manifest().files}
+        assert (load([(5, "b", 2), (5, "c", 3)]).updated, load([]).rows_written) == (1, 0)
+    m = lake.table(obj.target_path).manifest()
+    assert m.metrics["touched"] == 1 and m.metrics["kept"] == 9 and len({f.path for f in m.files} & first) == len(first) - 1
+    assert rows(lake.table(obj.target_path).read().groupBy("city").count()) == [("a", 99), ("c", 1)]
+    with pytest.raises(LayoutError):
+        KeyedTable(lake.table(obj.target_path), ["city"]).merge(None, lambda d: (d, None), m.struct, "x")
+
+
+def test_history_batches_keep_closed_versions(spark, lake):
+    obj = entry(lake, name="c", strategy="incremental", incremental_column="u", scd2_enabled=True)
+    day = lambda n: datetime(2024, 1, n, tzinfo=UTC)
+    table = lake.table("silver/c")
+    for n, data in enumerate([[(1, "a", day(1)), (2, "a", day(1))], [(1, "b", day(2))], [(1, "b", day(3))], [(1, "c", day(4)), (3, "z", day(4))]]):
+        with lake.store.run("t") as rid:
+            bronze.incremental_load(lake, FrameSource({"c": spark.createDataFrame(data, "id long, v string, u timestamp")}), obj, rid)
+            before = table.manifest().files if n else []
+            silver.build(lake, obj, rid)
+            assert {f.path for f in before if f.bucket is None} <= {f.path for f in table.manifest().files}
+    got = rows(table.read().select("id", "v", "is_current", F.dayofmonth("valid_from"), F.dayofmonth("valid_to")))
+    assert got == [(1, "a", False, 1, 2), (1, "b", False, 2, 3), (1, "b", False, 3, 4), (1, "c", True, 4, None), (2, "a", True, 1, None), (3, "z", True, 4, None)]
+    assert table.read(2).count() == 4
+
+
 # -- contracts --------------------------------------------------------------------------------------
 
 CONTRACT = """

@@ -83,9 +83,8 @@ def classified(history: DataFrame, incoming: DataFrame, keys: list[str], effecti
     return both.withColumn("action", action).withColumn("start", start).select("old", "new", "action", "start")
 
 
-def rewritten(history: DataFrame, marked: DataFrame) -> DataFrame:
-    """The history after the batch: past versions, open ones kept or closed, and new ones."""
-    columns = history.columns
+def after_batch(columns: list[str], marked: DataFrame) -> DataFrame:
+    """What becomes of the open versions: kept or closed, and the new ones."""
     opens = F.col("action").isin("open", "reopen", "change", "tombstone")
     closes = F.col("action").isin("reopen", "change", "tombstone")
 
@@ -98,8 +97,12 @@ def rewritten(history: DataFrame, marked: DataFrame) -> DataFrame:
     opened_row = F.struct(*(field(c, F.col("old"), True) if c in ("valid_from", "valid_to", "is_current", "is_deleted") else source(c).alias(c) for c in columns))
     kept_row = F.struct(*(field(c, F.col("old"), False) for c in columns))
     rows = F.array_compact(F.array(F.when(F.col("old").isNotNull(), kept_row), F.when(opens, opened_row)))
-    current = marked.select(F.explode(rows).alias("r")).select("r.*").select(*columns)
-    return history.filter("not is_current").unionByName(current)
+    return marked.select(F.explode(rows).alias("r")).select("r.*").select(*columns)
+
+
+def rewritten(history: DataFrame, marked: DataFrame) -> DataFrame:
+    """The history after the batch: past versions, open ones kept or closed, and new ones."""
+    return history.filter("not is_current").unionByName(after_batch(history.columns, marked))
 
 
 def outcome(marked: DataFrame) -> Outcome:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.control.store import SourceObject
@@ -29,17 +31,20 @@ def _silver(lake: Lake, obj: SourceObject):
     return lake.table(layer_path(obj.target_path, "silver")).read()
 
 
+def _work(lake: Lake, obj: SourceObject, run_id: str, role: str):
+    return lake.work(run_id, obj, "gold", lake.own(layer_path(obj.target_path, "silver")), gold_path(obj.object_name, role))
+
+
 def build_dimension(lake: Lake, obj: SourceObject, run_id: str) -> GoldResult:
-    with lake.store.task(run_id, obj, "gold") as task:
+    with _work(lake, obj, run_id, "dimension") as task:
         keys = [snake_case(k) for k in obj.keys]
         rows = drop_restricted(_silver(lake, obj), _policies(lake, obj), keys)
         out = star.dimension(rows, obj.object_name, keys, obj.scd2_enabled)
         path = gold_path(obj.object_name, "dimension")
-        version = lake.table(path).overwrite(out)
-        n = rows.count()
-        task.update(rows_read=n, rows_written=n + 1)
-        if lake.lineage:
-            lake.lineage.emit(run_id, f"gold.{obj.object_name}", [(lake.lineage.namespace, layer_path(obj.target_path, "silver"))], path, out, {star.key_column(obj.object_name): keys, **{c: [c] for c in rows.columns}})
+        seen = Observation()
+        version = lake.table(path).overwrite(out.observe(seen, F.count(F.lit(1)).alias("n")))
+        n = seen.get["n"] - 1
+        task.update(rows_read=n, rows_written=n + 1, lineage=(out, {star.key_column(obj.object_name): keys, **{c: [c] for c in rows.columns}}))
         return GoldResult(version, n, n + 1)
 
 
@@ -60,18 +65,17 @@ def references(lake: Lake, obj: SourceObject) -> list[star.Reference]:
 
 
 def build_fact(lake: Lake, obj: SourceObject, run_id: str) -> GoldResult:
-    with lake.store.task(run_id, obj, "gold") as task:
+    with _work(lake, obj, run_id, "fact") as task:
         refs = references(lake, obj)
         rows = _silver(lake, obj)
         out, names = star.fact(rows, refs, event_time(lake, obj))
         out = drop_restricted(out, _policies(lake, obj), names)
         table = lake.table(gold_path(obj.object_name, "fact"))
-        version = table.overwrite(out)
-        written = table.read()
-        n, missing = written.count(), star.unresolved(written, names)
-        task.update(rows_read=n, rows_written=n, rows_rejected=sum(missing.values()))
-        if lake.lineage:
-            lake.lineage.emit(run_id, f"gold.{obj.object_name}", [(lake.lineage.namespace, layer_path(obj.target_path, "silver"))], gold_path(obj.object_name, "fact"), out, {})
+        seen = Observation()
+        version = table.overwrite(out.observe(seen, F.count(F.lit(1)).alias("_n"), *(F.count_if(F.col(c) == star.UNKNOWN).alias(c) for c in names)))
+        missing = dict(seen.get)
+        n = missing.pop("_n")
+        task.update(rows_read=n, rows_written=n, rows_rejected=sum(missing.values()), lineage=(out, {**{k: [r.column] for k, r in zip(names, refs, strict=True)}, **{c: [c] for c in out.columns if c not in names}}))
         return GoldResult(version, n, n, missing)
 
 

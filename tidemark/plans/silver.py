@@ -16,6 +16,7 @@ from tidemark.operators.dedupe import dedupe_key, dedupe_sequence, latest_per_ke
 from tidemark.operators.privacy import apply_masks, masking_key
 from tidemark.operators.quality import QualityFailure, Rule, evaluate
 from tidemark.plans.bronze import Lake
+from tidemark.storage.keyed import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,7 @@ def write_quarantine(lake: Lake, obj: SourceObject, rejected: DataFrame, n: int,
 def build(lake: Lake, obj: SourceObject, run_id: str, at: datetime | None = None) -> SilverResult:
     """One lazy plan from bronze to masked rows; its deduplicated form is persisted once, as the rule aggregate and the writes all read it."""
     at = at or datetime.now(UTC)
-    with lake.store.task(run_id, obj, "silver") as task:
+    with lake.work(run_id, obj, "silver", lake.own(obj.target_path), layer_path(obj.target_path, "silver")) as task:
         bronze = lake.table(obj.target_path).read()
         seen = Observation()
         counted = bronze.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -68,15 +69,14 @@ def build(lake: Lake, obj: SourceObject, run_id: str, at: datetime | None = None
             table = lake.table(layer_path(obj.target_path, "silver"))
             history = None
             if obj.scd2_enabled:
-                version, history = write_history(lake, obj, kept, at)
+                version, history = write_history(lake, obj, kept, report.rows - report.rejected_rows, at)
                 written, rejected = history.opened, duplicates + report.rejected_rows + history.late_skipped
             else:
                 version = table.overwrite(kept)
                 written = report.rows - report.rejected_rows
                 rejected = duplicates + report.rejected_rows
             task.update(status="quarantined" if report.rejected_rows else "succeeded", rows_read=n_read, rows_written=written, rows_rejected=rejected)
-            if lake.lineage:
-                lake.lineage.emit(run_id, f"silver.{obj.object_name}", [(lake.lineage.namespace, obj.target_path)], layer_path(obj.target_path, "silver"), kept, {snake_case(c): [c] for c in bronze.columns})
+            task["lineage"] = (kept, {snake_case(c): [c] for c in bronze.columns})
             return SilverResult(version, n_read, written, duplicates, report.rejected_rows, history)
         finally:
             deduped.unpersist()
@@ -86,24 +86,37 @@ def _secret(lake: Lake, obj: SourceObject) -> str | None:
     return lake.store.one("SELECT secret_name FROM source_system WHERE id = ?", obj.source_system_id)["secret_name"]
 
 
-def write_history(lake: Lake, obj: SourceObject, rows: DataFrame, at: datetime) -> tuple[int, scd2.Outcome]:
-    """The first batch opens a version of every row; later ones are merged, and commit nothing if nothing changed."""
-    table = lake.table(layer_path(obj.target_path, "silver"))
+def write_history(lake: Lake, obj: SourceObject, rows: DataFrame, n: int, at: datetime) -> tuple[int, scd2.Outcome]:
+    """The first batch opens a version of each of its ``n`` rows; later ones are merged, and commit nothing if nothing changed.
+
+    Open versions lie in key buckets, of which a batch rewrites those it touches (all, where absence means deletion); closed versions are appended and never written again.
+    """
     keys = [snake_case(k) for k in obj.keys]
+    table = KeyedTable(lake.table(layer_path(obj.target_path, "silver")), keys)
     run_time = F.lit(at)
     incremental = snake_case(obj.incremental_column) if obj.incremental_column else None
     effective = scd2.effective_time(rows, incremental, run_time)
-    if not table.exists():
-        n = Observation()
-        version = table.overwrite(scd2.with_history(rows, keys, effective).observe(n, F.count(F.lit(1)).alias("n")))
-        return version, scd2.Outcome(opened=n.get["n"])
-    old = table.read()
-    scd2.guard_schema(old, rows)
-    marked = scd2.classified(old, rows, keys, effective, run_time, tombstones=obj.load_strategy in ("full", "cdc")).persist()
+    if not table.table.exists():
+        return table.create(scd2.with_history(rows, keys, effective), n, "scd2"), scd2.Outcome(opened=n)
+    old = table.table.manifest()
+    scd2.guard_schema(lake.spark.createDataFrame([], old.struct), rows)
+    tombstones = obj.load_strategy in ("full", "cdc")
+    found: dict = {}
+
+    def merged(stored: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+        marked = found["marked"] = scd2.classified(stored, rows, keys, effective, run_time, tombstones).persist()
+        found["outcome"] = scd2.outcome(marked)
+        if not found["outcome"].changed:
+            return None
+        after = scd2.after_batch(stored.columns, marked)
+        past = after.filter("not is_current")
+        if table.layout(old) is None:  # a table without buckets: its closed versions move once
+            past = stored.filter("not is_current").unionByName(past)
+        return after.filter("is_current"), past
+
     try:
-        result = scd2.outcome(marked)
-        if not result.changed:
-            return table.version(), result
-        return table.overwrite(scd2.rewritten(old, marked), "scd2", {"opened": result.opened, "closed": result.closed}), result
+        version = table.merge(None if tombstones else rows, merged, old.struct, "scd2", lambda: {"opened": found["outcome"].opened, "closed": found["outcome"].closed})
+        return version, found["outcome"]
     finally:
-        marked.unpersist()
+        if "marked" in found:
+            found["marked"].unpersist()

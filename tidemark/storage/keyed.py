@@ -71,11 +71,11 @@ class KeyedTable:
         return sorted(r[0] for r in batch.select(self.bucket(buckets)).distinct().collect())
 
     def merge(
-        self, batch: DataFrame | None, merged: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]], schema: T.StructType, operation: str, metrics: Callable[[], dict] | dict | None = None, retries: int = 3
+        self, batch: DataFrame | None, merged: Callable[[DataFrame], tuple[DataFrame, DataFrame | None] | None], schema: T.StructType, operation: str, metrics: Callable[[], dict] | dict | None = None, retries: int = 3
     ) -> int:
         """Replaces the buckets that ``batch`` (None: every one) touches by what ``merged`` makes of their rows, and commits once.
 
-        ``merged`` gets the stored rows of the touched buckets and returns their replacement, and rows for the append-only part or None. A table without a layout is put into buckets by its first merge.
+        ``merged`` gets the stored rows of the touched buckets and returns their replacement, and rows for the append-only part or None; or None alone if nothing is to be committed. A table without a layout is put into buckets by its first merge.
         """
         for attempt in range(retries + 1):
             base = self.table.version()
@@ -87,7 +87,10 @@ class KeyedTable:
                 buckets = layout["buckets"]
                 touched = self.touched(batch, buckets) if batch is not None else None
                 own = [f for f in m.files if f.bucket is not None and (touched is None or f.bucket in touched)]
-            new, closed = merged(self.table._frame(m.struct, [f.path for f in own]))
+            made = merged(self.table._frame(m.struct, [f.path for f in own]))
+            if made is None:
+                return base
+            new, closed = made
             files = self._stage(new, buckets, len(touched) if touched is not None else buckets)
             files += self.table.stage(closed) if closed is not None else []
             kept = [f for f in m.files if f not in own]
