@@ -97,12 +97,24 @@ def orders_with_event_time(spark: SparkSession, sf: str) -> DataFrame:
     return orders.join(objects, "source_object_id").withColumn("event_us", named_micros(orders, F.col("_time"), ORDER_TIMES)).drop("_time")
 
 
-def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    orders = orders_with_event_time(spark, sf).select("row_no", strip("customer_id").alias("customer_id"), "event_us")
+def _as_of(spark: SparkSession, sf: str) -> dict:
+    orders = orders_with_event_time(spark, sf).select("row_no", strip("customer_id").alias("customer_id"), "event_us", F.unix_micros("arrived_at").alias("arrived_us"))
     history = table(spark, sf, "customer_history").withColumn("customer_id", strip("customer_id"))
-    return asof.attributes_at_event(
-        orders, history, key="customer_id", event_time="event_us", valid_from="valid_from", recorded_at="ingested_at", version="version_no", deleted="is_deleted"
-    ).select("row_no", "version_no")
+    return {"events": orders, "versions": history, "key": "customer_id", "event_time": "event_us", "valid_from": "valid_from", "recorded_at": "ingested_at", "version": "version_no", "deleted": "is_deleted"}
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return asof.attributes_at_event(**_as_of(spark, sf)).select("row_no", "version_no")
+
+
+def p2_as_known(spark: SparkSession, sf: str) -> DataFrame:
+    """The version valid at each row's event time as it was known when the row arrived: points off the diagonal of the plane."""
+    return asof.attributes_at_event(**_as_of(spark, sf), known_at="arrived_us").select("row_no", "version_no")
+
+
+def p2_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """How many cells of the index hold how many versions and rectangles."""
+    return asof.cell_sizes(**_as_of(spark, sf), known_at="arrived_us").groupBy("versions", "rectangles").agg(F.count("*").alias("cells"))
 
 
 # -- 3 and 6: snapshots -----------------------------------------------------------------------
@@ -244,5 +256,5 @@ def p7_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p7_found, p7_runs)
+    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p7_found, p7_runs)
 }

@@ -71,6 +71,8 @@ SELECT row_no, version_no FROM (
 WHERE NOT coalesce(gone, false)
 """
 
+_P2_AS_KNOWN = _P2.replace("SELECT row_no, regexp", "SELECT row_no, arrived_at, regexp").replace("ingested_at <= t", "ingested_at <= arrived_at")
+
 _P3_CASES = r"""
 WITH o AS (SELECT DISTINCT id AS source_object_id, coalesce(load_strategy = 'incremental', false) AS inc FROM source_object),
 sn AS (SELECT source_object_id, snapshot_no, row_number() OVER (PARTITION BY source_object_id ORDER BY taken, snapshot_no) AS rk
@@ -171,6 +173,6 @@ SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_
 """
 
 ORACLES = {
-    "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p3_found": _P3, "p3_counts": _P3_COUNTS,
+    "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p2_as_known": _P2_AS_KNOWN, "p3_found": _P3, "p3_counts": _P3_COUNTS,
     "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }
