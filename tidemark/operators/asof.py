@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.runtime import materialise
+
 START, END = -(1 << 63), (1 << 63) - 1
 LEAST = 4
 CELL = ["_key", "_b", "_c"]
@@ -56,24 +58,23 @@ def _edge(pivots: str, i: Column) -> tuple[Column, Column]:
     return F.coalesce(F.when(i > 0, F.get(pivots, i - 1)).otherwise(none), F.lit(START)), F.coalesce(F.get(pivots, i), F.lit(END))
 
 
-def cell_contents(v: DataFrame, grid: DataFrame, asked: DataFrame) -> DataFrame:
+def cell_contents(placed: DataFrame, grid: DataFrame, asked: DataFrame) -> DataFrame:
     """(cell, _x0, _x1, _y0, _y1, _vs): for each asked cell its edges and the versions it must know.
 
     ``_vs``: array of (r, f, vf, rec, tie, deleted), where r and f are when the version is known and valid within the cell, and vf and rec when it really is.
     """
-    placed = v.join(grid, "_key", "left").select("_key", "_vf", "_rec", "_tie", "_deleted", band("_xs", F.col("_vf")).alias("_vb"), band("_ys", F.col("_rec")).alias("_vc"))
     row = F.struct(F.col("_vf").alias("vf"), F.col("_rec").alias("rec"), F.col("_tie").alias("tie"), F.col("_deleted").alias("deleted"))
+    none = F.lit(None).cast("bigint")
+    # of rows that are valid from the cell's side on, or known from its start on, one for each time that still tells them apart
+    part = lambda df, f, r: df.select(*CELL, row.alias("v"), f.alias("_f"), r.alias("_r"))
     own = asked.join(placed.withColumnRenamed("_vb", "_b"), ["_key", "_b"]).filter("_vc <= _c")
-    inside = own.filter("_vc = _c").select(*CELL, row.alias("v"))
-    before = own.filter("_vc < _c").groupBy(*CELL, "_vf").agg(F.max(row).alias("v")).select(*CELL, "v")
     left = asked.filter("_b > 0").join(placed.withColumnRenamed("_vc", "_c"), ["_key", "_c"]).filter("_vb < _b")
-    left = left.groupBy(*CELL, "_rec").agg(F.max(row).alias("v")).select(*CELL, "v")
     # the corner: the last earlier band of valid time with anything known before this band of recorded time
     first = placed.join(grid.select("_key"), "_key", "left_semi").groupBy("_key", "_vb").agg(F.min("_vc").alias("m")).groupBy("_key").agg(F.collect_list(F.struct(F.col("_vb").alias("b"), "m")).alias("_firsts"))
     reach = F.array_max(F.transform(F.filter("_firsts", lambda x: (x["b"] < F.col("_b")) & (x["m"] < F.col("_c"))), lambda x: x["b"]))
-    corner = asked.filter("_b > 0 and _c > 0").join(first, "_key").select(*CELL, reach.alias("_vb")).filter("_vb is not null")
-    corner = corner.join(placed, ["_key", "_vb"]).filter("_vc < _c").groupBy(*CELL).agg(F.max(row).alias("v"))
-    content = inside.unionByName(before).unionByName(left).unionByName(corner).groupBy(*CELL).agg(F.collect_list("v").alias("_all"))
+    corner = asked.filter("_b > 0 and _c > 0").join(first, "_key").select(*CELL, reach.alias("_vb")).filter("_vb is not null").join(placed, ["_key", "_vb"]).filter("_vc < _c")
+    told = part(own, F.col("_vf"), F.when(F.col("_vc") == F.col("_c"), F.col("_rec"))).unionByName(part(left, none, F.col("_rec"))).unionByName(part(corner, none, none))
+    content = told.groupBy(*CELL, "_f", "_r").agg(F.max("v").alias("v")).groupBy(*CELL).agg(F.collect_list("v").alias("_all"))
     (x0, x1), (y0, y1) = _edge("_xs", F.col("_b")), _edge("_ys", F.col("_c"))
     edged = content.join(grid, "_key", "left").select(*CELL, x0.alias("_x0"), x1.alias("_x1"), y0.alias("_y0"), y1.alias("_y1"), "_all")
     clipped = F.transform("_all", lambda v: F.struct(F.greatest(v["rec"], F.col("_y0")).alias("r"), F.greatest(v["vf"], F.col("_x0")).alias("f"), *(v[c].alias(c) for c in ("vf", "rec", "tie", "deleted"))))
@@ -118,9 +119,13 @@ def located(events: DataFrame, grid: DataFrame, *, key: str, valid_at: str, know
     return points.join(grid, "_key", "left").select("_key", band("_xs", F.col("_x")).alias("_b"), band("_ys", F.col("_y")).alias("_c"), "_x", "_y", "_row")
 
 
-def index_of(points: DataFrame, v: DataFrame, grid: DataFrame) -> DataFrame:
-    """The contents of the cells that hold a point."""
-    return cell_contents(v, grid, points.filter("_key is not null").select(*CELL).distinct())
+def prepared(events: DataFrame, versions: DataFrame, *, key: str, event_time: str, valid_from: str, recorded_at: str, version: str, deleted: str | None, known_at: str | None, least: int, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """(points, contents of the cells that hold one). Versions, grids and points are each used several times and so cut from their lineage."""
+    v = materialise(known_versions(versions, key=key, valid_from=valid_from, recorded_at=recorded_at, version=version, deleted=deleted), "asof-versions")
+    grid = materialise(grids(v, least), "asof-grids")
+    points = materialise(located(events, grid, key=key, valid_at=event_time, known_at=known_at or event_time, whole=whole), "asof-points")
+    placed = v.join(grid, "_key", "left").select("_key", "_vf", "_rec", "_tie", "_deleted", band("_xs", F.col("_vf")).alias("_vb"), band("_ys", F.col("_rec")).alias("_vc"))
+    return points, cell_contents(materialise(placed, "asof-placed"), grid, points.filter("_key is not null").select(*CELL).distinct())
 
 
 def attributes_at_event(
@@ -131,10 +136,8 @@ def attributes_at_event(
     Both are columns in microseconds; ``valid_from`` and ``recorded_at`` are timestamps. All columns of the events stay; where one of them is named
     like ``version``, the new one gets the suffix ``_found``. With ``how="left"`` events without a version stay, with a null.
     """
-    v = known_versions(versions, key=key, valid_from=valid_from, recorded_at=recorded_at, version=version, deleted=deleted)
-    grid = grids(v, least)
-    points = located(events, grid, key=key, valid_at=event_time, known_at=known_at or event_time, whole=how != "inner")
-    boxes = rectangles(index_of(points, v, grid))
+    points, contents = prepared(events, versions, key=key, event_time=event_time, valid_from=valid_from, recorded_at=recorded_at, version=version, deleted=deleted, known_at=known_at, least=least, whole=how != "inner")
+    boxes = rectangles(contents)
     inside = "p._key = r._key and p._b = r._b and p._c = r._c and p._x >= r.x0 and p._x < r.x1 and p._y >= r.y0 and p._y < r.y1"
     found = points.alias("p").join(boxes.alias("r"), F.expr(inside), how)
     if how == "inner":
@@ -145,8 +148,7 @@ def attributes_at_event(
 
 def cell_sizes(events: DataFrame, versions: DataFrame, *, key: str, event_time: str, valid_from: str, recorded_at: str, version: str, deleted: str | None = None, known_at: str | None = None, least: int = LEAST) -> DataFrame:
     """(_key, _b, _c, versions, rectangles) of each cell of the index that ``attributes_at_event`` builds for these points."""
-    v = known_versions(versions, key=key, valid_from=valid_from, recorded_at=recorded_at, version=version, deleted=deleted)
-    grid = grids(v, least)
-    contents = index_of(located(events, grid, key=key, valid_at=event_time, known_at=known_at or event_time, whole=False), v, grid)
+    _, contents = prepared(events, versions, key=key, event_time=event_time, valid_from=valid_from, recorded_at=recorded_at, version=version, deleted=deleted, known_at=known_at, least=least, whole=False)
+    contents = materialise(contents, "asof-cells")
     boxes = rectangles(contents).groupBy(*CELL).agg(F.count("*").alias("rectangles"))
     return contents.select(*CELL, F.size("_vs").alias("versions")).join(boxes, CELL, "left")
