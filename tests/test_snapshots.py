@@ -55,8 +55,39 @@ def brute(data, objects):
     return sorted(cases, key=repr), sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed):
+def stepwise(spark, root, data, objects, steps):
+    """The versions after adding the snapshots of each step (numbers) by runs of their own."""
+    a = args(spark, data, objects)
+    df, o = a.pop("rows"), a.pop("objects")
+    h = merkle.MerkleHistory(spark, f"file://{root}/h", **a, per_leaf=2, per_file=8)
+    for numbers in steps:
+        h.add(df.filter(F.col("no").isin(numbers)), o)
+    return h, rows(h.read().select("o", "k", "from_snapshot", "to_snapshot", "is_deleted"))
+
+
+def test_runs_one_by_one(spark, tmp_path):
+    data, objects = deliveries(3)
+    _, history = brute(data, objects)
+    h, got = stepwise(spark, tmp_path / "a", data, objects, [[3], [7], [5], [5], [9]])  # 5 comes twice
+    assert got == history
+    assert len(h.versions.history()) == 4 and h.add(args(spark, data, objects)["rows"], args(spark, data, objects)["objects"])["read"] == 0
+    h, got = stepwise(spark, tmp_path / "b", data, objects, [[3, 7], [3, 7, 5, 9]])
+    assert got == history
+    closed = {f.path for f in h.versions.manifest(0).files if f.bucket is None}
+    assert closed and closed <= {f.path for f in h.versions.manifest(1).files}
+    with pytest.raises(ValueError, match="older"):
+        stepwise(spark, tmp_path / "c", data, objects, [[7], [3]])
+
+
+def test_only_differing_leaves_and_their_files_are_touched(spark, tmp_path):
+    data = [(1, no, no, f"k{k}", "x" if (no, k) != (2, 7) else "y", None, 1) for no in (1, 2) for k in range(200)]
+    h, got = stepwise(spark, tmp_path, data, [(1, False)], [[1], [2]])
+    m = h.versions.manifest()
+    assert m.metrics["changed"] == 1 and m.metrics["leaves"] > 50 and 0 < m.metrics["read_bytes"] < m.metrics["kept_bytes"]
+    assert len(got) == 201 and (1, "k7", 2, 0, False) in got
+
+
+def deliveries(seed):
     r = random.Random(seed)
     data, objects = [], [(1, False), (2, True)]
     for o in (1, 2):
@@ -69,6 +100,12 @@ def test_against_brute_force(spark, seed):
                         data.append(data[-1])  # repeated
                     if r.random() < 0.2:
                         data.append((o, no, i, f"k{k}" if k else None, "stale", None, r.choice([None, 5])))
+    return data, objects
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    data, objects = deliveries(seed)
     cases, history = brute(data, objects)
     assert diff(spark, data, objects) == cases
     assert versions(spark, data, objects) == history

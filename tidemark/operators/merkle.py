@@ -1,100 +1,245 @@
-"""Full history of changing records from periodic snapshots, found by Merkle comparison.
+"""Full history of changing records from periodic snapshots, kept by Merkle comparison.
 
-The keys of an object are hashed into 16**depth leaves. Each snapshot has, for every leaf, a digest of its records, and for every node above, a digest
-of its children, up to the root. Consecutive snapshots are compared from the root: only below differing nodes are children compared, and only the records
-of leaves that differ are set against each other to give new versions. An unchanged leaf holds the records it held the time before,
-so the changed deliveries of a leaf, taken in order, are all that its keys' history needs.
+The keys of an object are hashed into 16**depth leaves; the depth is chosen when the object first appears, so that a leaf holds about ten keys (few, since one changed key makes its whole leaf differ), and kept. Each snapshot has, for every leaf, a digest of its records, and
+for every node above, a digest of its children, up to the root. A snapshot is compared with the one before it from the root: only below differing nodes are children compared, and only the records
+of leaves that differ are set against each other to give new versions.
 
-Where absence means nothing (incremental delivery) the same holds: a leaf delivered as the time before repeats what was last
+Between runs ``MerkleHistory`` keeps the tree of each object's last snapshot and the versions themselves: open ones in files by range of leaves, closed ones in files that are only ever added. A new
+snapshot is compared with the stored tree; of the versions only the files with differing leaves are read and written anew, and what it closes is appended. One manifest publishes all of it. A run may bring any number of
+snapshots of any objects, which are compared with each other in the same pass.
+
+Where absence means nothing (incremental delivery) a leaf delivered as the time before repeats what was last
 delivered of its keys, and keys are compared with their own last delivered record.
 
 Defined cases: as for ``snapdiff``: snapshots follow taken_at, the newest row of a key in a snapshot counts, nulls differ from empty
-values, repeated rows don't matter, the first snapshot opens a version for each key, a removal opens a deleted version, and a key that comes back closes it.
+values, repeated rows don't matter, the first snapshot opens a version for each key, a removal opens a deleted version, which has the attributes of the version it ends, and a key that comes back closes it. A snapshot whose number is known is
+left out, so that a run can be repeated; one that is new but older than the last of its object is refused; no new snapshot commits nothing.
 
 Scale: rows are folded to one per key and snapshot map-side; digests are sums and xors of hashes, so they are partial aggregates; digest tables have one row
-per snapshot and leaf; the records of a leaf are never collected, only a key's own deliveries meet in a window.
+per snapshot and leaf; the records of a leaf are never collected, only a key's own deliveries meet in a window. The driver sees one row per object and the numbers of the files' leaf ranges that are touched.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.snapdiff import key_hashes, ordered_snapshots, row_hash
-from tidemark.runtime import materialise
+from tidemark.runtime import materialise, new_path
+from tidemark.storage.keyed import PER_BUCKET
+from tidemark.storage.table import CommitConflict, VersionedTable, nullable
 
 BITS = 4
+PER_LEAF = 8
+DEEPEST = 15
+STATE = "merkle"
 
 
-def newest_rows(rows: DataFrame, snapshots: DataFrame, objects: DataFrame, *, obj: str, number: str, key: str, updated_at: str, compared: list[Column], carried: list[str]) -> DataFrame:
-    value = F.struct(F.col(updated_at).cast("bigint").alias("upd"), row_hash(compared).alias("row"), *carried)
-    newest = rows.select(F.col(obj), F.col(number), F.col(key).alias("_key"), value.alias("x")).groupBy(obj, number, "_key").agg(F.max("x").alias("x"))
-    return (
-        newest.join(snapshots, [obj, number]).join(objects, obj, "left")
-        .select(F.col(obj).alias("object"), "rank", "last", "_key", key_hashes(F.col("_key"))[0].alias("h"), F.col("x.row").alias("row"), F.coalesce("incremental", F.lit(False)).alias("incremental"), *(F.col(f"x.{c}").alias(c) for c in carried))
-    )
+def depth_for(keys: int, per_leaf: int) -> int:
+    """Levels below the root so that a leaf has about ``per_leaf`` keys, at most four times as many."""
+    return max(1, min(DEEPEST, math.floor(math.log(max(keys / per_leaf, 1), 2**BITS) + 0.5)))
+
 
+def _by_object(objects: dict[str, dict], field: str) -> Column:
+    return F.create_map(*(x for o, s in objects.items() for x in (F.lit(o), F.lit(s[field]))))[F.col("object").cast("string")]
 
-def depth_for(rows: int, per_leaf: int) -> int:
-    return max(1, min(7, math.ceil(math.log(max(rows / per_leaf, 1), 2**BITS))))
 
+def node_at(h: Column, level: Column) -> Column:
+    """The number of a key's node at a level: the first bits of its hash; 0 at the root."""
+    return F.when(level == 0, F.lit(0).cast("bigint")).otherwise(F.call_function("shiftrightunsigned", h, (64 - BITS * level).cast("int")))
 
-def leaf(h: Column, depth: int) -> Column:
-    return F.shiftrightunsigned(h, 64 - BITS * depth)
 
+def newest_rows(rows: DataFrame, numbered: DataFrame, objects: DataFrame, depths: Column, *, obj: str, number: str, key: str, updated_at: str, compared: list[Column], carried: list[str]) -> DataFrame:
+    """(object, rank, _key, h, node, row, incremental, carried...): one row per key and snapshot."""
+    value = F.struct(F.col(updated_at).cast("bigint").alias("upd"), row_hash(compared).alias("row"), *carried)
+    newest = rows.select(F.col(obj), F.col(number), F.col(key).alias("_key"), value.alias("x")).groupBy(obj, number, "_key").agg(F.max("x").alias("x"))
+    out = newest.join(numbered, [obj, number]).join(objects, obj, "left").select(
+        F.col(obj).alias("object"), "rank", "_key", key_hashes(F.col("_key"))[0].alias("h"), F.col("x.row").alias("row"), F.coalesce("incremental", F.lit(False)).alias("incremental"), *(F.col(f"x.{c}").alias(c) for c in carried)
+    )
+    return out.withColumn("node", node_at(F.col("h"), depths))
 
-def changed_leaves(newest: DataFrame, depth: int) -> DataFrame:
-    """(object, rank, node, place): the leaves of each snapshot that differ from the snapshot before; ``place`` counts a leaf's changed deliveries."""
+
+def trees(newest: DataFrame, depths: Column) -> DataFrame:
+    """(object, rank, level, node, digest) of all nodes of all new snapshots: every leaf counts in each node above it, so one aggregate gives all levels."""
     mixed = F.xxhash64("h", "row")
-    leaves = newest.groupBy("object", "rank", leaf(F.col("h"), depth).alias("node")).agg(F.bit_xor(mixed).alias("x"), F.sum(F.shiftright(mixed, 24)).alias("s"), F.count("*").alias("n"), F.max("last").alias("last"))
-    # every leaf counts in each node above it: one aggregate gives all levels of the tree
-    up = leaves.select("object", "rank", "last", "node", F.xxhash64("node", "x", "s", "n").alias("h"), F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("up"))
-    node = F.expr(f"shiftrightunsigned(node, cast(up * {BITS} as int))")
-    tree = up.groupBy("object", "rank", "up", node.alias("node")).agg(F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 24)).alias("s"), F.count("*").alias("n"), F.max("last").alias("last"))
-    tree = materialise(tree.select("object", "rank", "last", "up", "node", F.xxhash64("x", "s", "n").alias("digest")), "merkle-tree", partition="up")
-    differing = None
-    for level in range(depth, -1, -1):
-        here = tree.filter(F.col("up") == level)
-        sides = here.select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(here.filter("rank < last").select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now")))
+    fold = lambda h: [F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 24)).alias("s"), F.count("*").alias("n")]
+    leaves = newest.groupBy("object", "rank", "node").agg(*fold(mixed))
+    up = leaves.select("object", "rank", F.col("node").alias("_leaf"), F.xxhash64("node", "x", "s", "n").alias("h"), F.explode(F.sequence(F.lit(0), depths.cast("int"))).alias("level"))
+    node = F.call_function("shiftrightunsigned", F.col("_leaf"), (BITS * (depths - F.col("level"))).cast("int"))
+    tree = up.groupBy("object", "rank", "level", node.alias("node")).agg(*fold(F.col("h")))
+    return tree.select("object", "rank", "level", "node", F.xxhash64("x", "s", "n").alias("digest"))
+
+
+def changed_leaves(tree: DataFrame, lasts: Column, depths: Column, deepest: int) -> DataFrame:
+    """(object, rank, node): the leaves of each new snapshot that differ from the snapshot before. ``tree`` also has the last stored snapshot of each object; ``lasts`` is the rank of its last new one."""
+    leaves, differing = [], None
+    for level in range(deepest + 1):
+        here = tree.filter(F.col("level") == level)
+        after = here.filter(F.col("rank") < lasts).select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now"))
+        sides = here.filter("not stored").select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(after)
         if differing is not None:
             # only children of nodes that differ are looked at
             above = differing.select("object", "rank", F.col("node").alias("_parent"))
-            sides = sides.withColumn("_parent", F.shiftrightunsigned("node", BITS)).join(above, ["object", "rank", "_parent"], "left_semi")
+            sides = sides.withColumn("_parent", F.call_function("shiftrightunsigned", F.col("node"), F.lit(BITS))).join(above, ["object", "rank", "_parent"], "left_semi")
         pair = sides.groupBy("object", "rank", "node").agg(F.max(F.when(F.col("now"), F.col("digest"))).alias("a"), F.max(F.when(~F.col("now"), F.col("digest"))).alias("b"))
         differing = pair.filter("not (a <=> b)").select("object", "rank", "node")
-    return differing.withColumn("place", F.row_number().over(Window.partitionBy("object", "node").orderBy("rank")))
-
-
-def history(
-    rows: DataFrame, objects: DataFrame, *, obj: str, number: str, taken_at: str, key: str, updated_at: str, compared: list[Column], carried: list[str] | None = None, per_leaf: int = 16
-) -> DataFrame:
-    """One row per version: obj, key, from_snapshot, to_snapshot (0 while open), valid_from, valid_to, is_current, is_deleted and the carried columns."""
-    carried = carried or []
-    depth = depth_for(rows.count(), per_leaf)
-    numbered = materialise(ordered_snapshots(rows, obj, number, taken_at), "merkle-snapshots")
-    newest = materialise(newest_rows(rows, numbered, objects, obj=obj, number=number, key=key, updated_at=updated_at, compared=compared, carried=carried), "merkle-rows")
-    changed = materialise(changed_leaves(newest, depth), "merkle-changed")
-
-    met = newest.withColumn("node", leaf(F.col("h"), depth)).join(changed, ["object", "rank", "node"])
-    own = Window.partitionBy("object", "_key").orderBy("rank")
-    seen = met.withColumns({"_row0": F.lag("row").over(own), "_place0": F.lag("place").over(own), "_place1": F.lead("place").over(own)})
-    # a full delivery in which a key is missing: the leaf's next changed one after the key's, unless the key is in it
-    after = changed.select("object", "node", (F.col("place") - 1).alias("place"), F.col("rank").alias("_gone"))
-    seen = seen.join(after, ["object", "node", "place"], "left")
-    back = ~F.col("incremental") & (F.col("_place0") < F.col("place") - 1)
-    opens = F.col("_row0").isNull() | back | (F.col("_row0") != F.col("row"))
-    gone = ~F.col("incremental") & F.col("_gone").isNotNull() & ((F.col("_place1") > F.col("place") + 1) | F.col("_place1").isNull())
-    version = lambda r, d: F.struct(F.col(r).alias("rank"), F.lit(d).alias("is_deleted"))
-    events = seen.select("object", "_key", *carried, F.explode(F.array_compact(F.array(F.when(opens, version("rank", False)), F.when(gone, version("_gone", True))))).alias("e")).select("object", "_key", *carried, "e.*")
-    versions = events.withColumn("_next", F.lead("rank").over(own))
-    at = numbered.select(F.col(obj).alias("object"), F.col("rank"), F.col(number).alias("_no"), F.col("taken").alias("_taken"))
-    return (
-        versions.join(at, ["object", "rank"])
-        .join(at.select("object", F.col("rank").alias("_next"), F.col("_no").alias("_no1"), F.col("_taken").alias("_taken1")), ["object", "_next"], "left")
-        .select(
+        if level:
+            leaves.append(differing.filter(depths == level))
+    out = leaves[0]
+    for part in leaves[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+class MerkleHistory:
+    """The history of some objects' keys, built from their snapshots as they come."""
+
+    def __init__(self, spark: SparkSession, root: str, *, obj: str, number: str, taken_at: str, key: str, updated_at: str, compared: list[Column], carried: list[str] | None = None, per_leaf: int = PER_LEAF, per_file: int = PER_BUCKET):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.versions, self.tree, self.snapshots = (VersionedTable(spark, f"{self.root}/{n}") for n in ("versions", "tree", "snapshots"))
+        self.names = {"obj": obj, "number": number, "key": key, "updated_at": updated_at, "compared": compared, "carried": carried or []}
+        self.taken_at, self.per_leaf, self.per_file = taken_at, per_leaf, per_file
+
+    def _known(self, m) -> DataFrame | None:
+        return self.snapshots.read(m.properties[STATE]["snapshots"]) if m else None
+
+    def _numbered(self, rows: DataFrame, m) -> DataFrame:
+        """(obj, number, taken, rank) of the snapshots that are new."""
+        obj, number = self.names["obj"], self.names["number"]
+        found = ordered_snapshots(rows, obj, number, self.taken_at).drop("last")
+        if m is None:
+            return materialise(found, "merkle-snapshots")
+        known = self._known(m)
+        last = known.groupBy(obj).agg(F.max("rank").alias("_last"), F.max("taken").alias("_until"))
+        new = found.join(known.select(obj, number), [obj, number], "left_anti").join(last, obj, "left")
+        order = Window.partitionBy(obj).orderBy("taken", number)
+        out = materialise(new.withColumn("rank", F.coalesce("_last", F.lit(0)) + F.row_number().over(order)), "merkle-snapshots")
+        if not out.filter("taken < _until").isEmpty():
+            raise ValueError("a snapshot is older than the last one of its object")
+        return out.select(obj, number, "taken", "rank")
+
+    def _objects(self, rows: DataFrame, numbered: DataFrame, known: dict[str, dict]) -> dict[str, dict]:
+        """What is kept of each object: its depth, the ranges of leaves its files are cut by (first number and how many), and the rank of its last snapshot."""
+        obj = self.names["obj"]
+        sizes = rows.groupBy(obj).agg(F.approx_count_distinct(self.names["key"]).alias("keys")).join(numbered.groupBy(obj).agg(F.max("rank").alias("last")), obj).collect()
+        out, top = {o: dict(s) for o, s in known.items()}, max((s["first"] + s["files"] for s in known.values()), default=0)
+        for r in sorted(sizes, key=lambda r: str(r[obj])):
+            own = out.setdefault(str(r[obj]), {})
+            if "depth" not in own:
+                own |= {"depth": depth_for(r["keys"], self.per_leaf), "first": top, "files": max(1, -(-r["keys"] // self.per_file))}
+                top += own["files"]
+            own["last"] = r["last"]
+        return out
+
+    @staticmethod
+    def file_range(objects: dict[str, dict]) -> Column:
+        """Which range of an object's leaves a key lies in: a file's leaves are neighbours."""
+        top = F.call_function("shiftrightunsigned", F.col("h"), F.lit(32))
+        return (_by_object(objects, "first") + F.call_function("shiftrightunsigned", top * _by_object(objects, "files"), F.lit(32))).cast("int")
+
+    def add(self, rows: DataFrame, objects: DataFrame) -> dict:
+        """Adds the snapshots in ``rows`` as one commit. ``objects``: obj and ``incremental``. Returns how much was new, differed and was read."""
+        base = self.versions.version()
+        m = self.versions.manifest(base) if base >= 0 else None
+        numbered = self._numbered(rows, m)
+        state = m.properties[STATE] if m else {"objects": {}}
+        kept_objects = self._objects(rows, numbered, state["objects"])
+        fresh = {o for o, s in kept_objects.items() if s != state["objects"].get(o)}
+        if not fresh:
+            return {"version": base, "leaves": 0, "changed": 0, "read": 0}
+        depths, lasts = _by_object(kept_objects, "depth"), _by_object(kept_objects, "last")
+        newest = materialise(newest_rows(rows, numbered, objects, depths, **self.names), "merkle-rows")
+        tree = trees(newest, depths).withColumn("stored", F.lit(False))
+        old_tree = self.tree.read(state["tree"]) if m else None
+        if m:
+            tree = tree.unionByName(old_tree.withColumn("stored", F.lit(True)))
+        tree = materialise(tree, "merkle-tree", partition="level")
+        place = F.row_number().over(Window.partitionBy("object", "node").orderBy("rank"))
+        changed = materialise(changed_leaves(tree, lasts, depths, max(s["depth"] for s in kept_objects.values())).withColumn("place", place), "merkle-changed")
+        all_versions, own = self._versions(newest, changed, m, kept_objects)
+        return self._publish(base, m, state, all_versions, own, tree, numbered, kept_objects, fresh, lasts, changed)
+
+    def _versions(self, newest: DataFrame, changed: DataFrame, m, kept_objects: dict) -> tuple[DataFrame, list]:
+        """All versions of the files whose leaves differ: closed ones have ``to_rank``. And these files."""
+        carried, columns = self.names["carried"], ["object", "_key", "h", "row", "incremental", *self.names["carried"]]
+        depths, stored, own = _by_object(kept_objects, "depth"), None, []
+        if m:
+            reach = F.call_function("shiftleft", F.col("node"), (64 - BITS * depths).cast("int"))
+            touched = {r[0] for r in changed.select("object", reach.alias("h")).select(self.file_range(kept_objects).alias("f")).distinct().collect()}
+            own = [f for f in m.files if f.bucket in touched]
+            stored = self.versions._frame(m.struct, [f.path for f in own])
+        met = newest.join(changed.select("object", "rank", "node", "place"), ["object", "rank", "node"]).select(*columns, "node", "rank", "place", F.lit(False).alias("_prior"))
+        if stored is not None:
+            # what is open of the differing leaves, as their state before the first change
+            prior = stored.filter("to_rank is null").withColumn("node", node_at(F.col("h"), depths)).join(changed.select("object", "node").distinct(), ["object", "node"], "left_semi")
+            met = met.unionByName(prior.select(*(F.when(~F.col("is_deleted"), F.col(c)).alias(c) if c == "row" else F.col(c) for c in columns), "node", F.col("from_rank").alias("rank"), F.lit(0).alias("place"), F.lit(True).alias("_prior")))
+        by_key = Window.partitionBy("object", "_key").orderBy("place")
+        seen = met.withColumns({"_row0": F.lag("row").over(by_key), "_place0": F.lag("place").over(by_key), "_place1": F.lead("place").over(by_key)})
+        # a full delivery in which a key is missing: the leaf's next changed one after the key's, unless the key is in it
+        after = changed.select("object", "node", (F.col("place") - 1).alias("place"), F.col("rank").alias("_gone"))
+        seen = seen.join(after, ["object", "node", "place"], "left")
+        back = ~F.col("incremental") & (F.col("_place0") < F.col("place") - 1)
+        opens = ~F.col("_prior") & (F.col("_row0").isNull() | back | (F.col("_row0") != F.col("row")))
+        gone = F.col("row").isNotNull() & ~F.col("incremental") & F.col("_gone").isNotNull() & ((F.col("_place1") > F.col("place") + 1) | F.col("_place1").isNull())
+        version = lambda r, d: F.struct(F.col(r).alias("from_rank"), F.lit(d).alias("is_deleted"))
+        new = seen.select(*columns, F.explode(F.array_compact(F.array(F.when(opens, version("rank", False)), F.when(gone, version("_gone", True))))).alias("e")).select(*columns, "e.*")
+        every = new.withColumn("_new", F.lit(True))
+        if stored is not None:
+            every = every.unionByName(stored.filter("to_rank is null").select(*columns, "from_rank", "is_deleted", F.lit(False).alias("_new")))
+        w = Window.partitionBy("object", "_key").orderBy("from_rank")
+        # a deleted version has the attributes of the version it ends
+        kept = {c: F.when(F.col("_new") & F.col("is_deleted"), F.lag(c).over(w)).otherwise(F.col(c)) for c in carried}
+        return every.withColumns({**kept, "to_rank": F.lead("from_rank").over(w)}).drop("_new"), own
+
+    def _publish(self, base: int, m, state: dict, all_versions: DataFrame, own: list, tree: DataFrame, numbered: DataFrame, kept_objects: dict, fresh: set, lasts: Column, changed: DataFrame) -> dict:
+        spread = materialise(all_versions.withColumn("__file", self.file_range(kept_objects)), "merkle-versions")
+        tasks = max(1, min(sum(s["files"] for s in kept_objects.values()), 4 * self.spark.sparkContext.defaultParallelism))
+        files = self.versions.stage(spread.filter("to_rank is null").repartition(tasks, "__file").sortWithinPartitions("__file", "h"), "__file")
+        files += self.versions.stage(spread.filter("to_rank is not null").drop("__file").coalesce(tasks))
+        # the trees of the last snapshots take the place of those before
+        last = tree.filter((F.col("rank") == lasts) & (~F.col("stored") | ~F.col("object").cast("string").isin(list(fresh)))).drop("stored")
+        properties = {STATE: {"objects": kept_objects, "tree": self._replace(self.tree, last), "snapshots": self._replace(self.snapshots, numbered if m is None else self._known(m).unionByName(numbered))}}
+        counts = changed.agg(F.count("*").alias("n")).first().n
+        leaves = tree.filter(~F.col("stored") & (F.col("level") == _by_object(kept_objects, "depth"))).count()
+        read = sum(f.bytes for f in own)
+        figures = {"leaves": leaves, "changed": counts, "read_bytes": read, "kept_bytes": sum(f.bytes for f in m.files if f not in own) if m else 0}
+        version = self.versions.commit(base, "snapshots", nullable(T.StructType([f for f in spread.schema if f.name != "__file"])), [*(f for f in (m.files if m else []) if f not in own), *files], figures, properties)
+        return {"version": version, "leaves": leaves, "changed": counts, "read": read}
+
+    @staticmethod
+    def _replace(table: VersionedTable, df: DataFrame, retries: int = 5) -> int:
+        """A new version of a side table. It counts only once a manifest of the versions names it, so one that a dead run left behind does no harm."""
+        files = table.stage(df)
+        for attempt in range(retries + 1):
+            try:
+                return table.commit(table.version(), "replace", nullable(df.schema), files, {}, {})
+            except CommitConflict:
+                if attempt == retries:
+                    raise
+        raise AssertionError
+
+    def read(self) -> DataFrame:
+        """One row per version: obj, key, from_snapshot, to_snapshot (0 while open), valid_from, valid_to, is_current, is_deleted and the carried columns."""
+        obj, number, key = (self.names[n] for n in ("obj", "number", "key"))
+        m = self.versions.manifest()
+        at = self._known(m).select(F.col(obj).alias("object"), "rank", F.col(number).alias("_no"), F.col("taken").alias("_taken"))
+        begin = at.select("object", F.col("rank").alias("from_rank"), "_no", "_taken")
+        end = at.select("object", F.col("rank").alias("to_rank"), F.col("_no").alias("_no1"), F.col("_taken").alias("_taken1"))
+        return self.versions.read(m.version).join(begin, ["object", "from_rank"]).join(end, ["object", "to_rank"], "left").select(
             F.col("object").alias(obj), F.col("_key").alias(key), F.col("_no").alias("from_snapshot"), F.coalesce("_no1", F.lit(0)).alias("to_snapshot"),
-            F.col("_taken").alias("valid_from"), F.col("_taken1").alias("valid_to"), F.col("_next").isNull().alias("is_current"), "is_deleted", *carried,
-        )
-    )
+            F.col("_taken").alias("valid_from"), F.col("_taken1").alias("valid_to"), F.col("to_rank").isNull().alias("is_current"), "is_deleted", *self.names["carried"],
+        )
+
+
+def history(rows: DataFrame, objects: DataFrame, *, per_leaf: int = PER_LEAF, **names) -> DataFrame:
+    """The history of all snapshots of a table at once, with the columns of ``MerkleHistory.read``."""
+    out = MerkleHistory(rows.sparkSession, new_path(rows.sparkSession, "history"), per_leaf=per_leaf, **names)
+    out.add(rows, objects)
+    if not out.versions.exists():
+        carried = [rows.schema[c] for c in names.get("carried") or []]
+        kinds = {"from_snapshot": rows.schema[names["number"]].dataType, "to_snapshot": rows.schema[names["number"]].dataType, "valid_from": rows.schema[names["taken_at"]].dataType, "valid_to": rows.schema[names["taken_at"]].dataType, "is_current": T.BooleanType(), "is_deleted": T.BooleanType()}
+        return rows.sparkSession.createDataFrame([], T.StructType([rows.schema[names["obj"]], rows.schema[names["key"]], *(T.StructField(n, k) for n, k in kinds.items()), *carried]))
+    return out.read()

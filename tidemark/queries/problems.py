@@ -145,15 +145,35 @@ def p3_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _history(spark: SparkSession, sf: str, carried: list[str] | None = None) -> merkle.MerkleHistory:
+    """The snapshots as they come: in one run all but each object's last one, in the next the last, which is compared with the stored trees."""
+    s = _snapshots(spark, sf)
+    rows, objects = s.pop("rows"), s.pop("objects")
+    order = snapdiff.ordered_snapshots(rows, s["obj"], s["number"], s["taken_at"])
+    earlier = order.filter("rank < last or last = 1").select(s["obj"], s["number"])
+    out = merkle.MerkleHistory(spark, new_path(spark, "history"), **s, carried=carried)
+    out.add(rows.join(earlier, [s["obj"], s["number"]], "left_semi"), objects)
+    out.add(rows, objects)
+    return out
+
+
+ATTRIBUTES = ["customer_email", "customer_phone", "customer_city", "customer_state", "customer_zip_prefix"]
+
+
 def p6_history(spark: SparkSession, sf: str) -> DataFrame:
     """The full history with its periods and attributes."""
-    s = _snapshots(spark, sf)
-    return merkle.history(**s, carried=["customer_email", "customer_phone", "customer_city", "customer_state", "customer_zip_prefix"])
+    out = _history(spark, sf, ATTRIBUTES).read()
+    return out.withColumns({"from_us": F.unix_micros("valid_from"), "to_us": F.unix_micros("valid_to")}).drop("valid_from", "valid_to")
+
+
+def p6_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """What each run compared and touched: leaves of its snapshots, leaves that differ, bytes of versions read and left alone."""
+    runs = _history(spark, sf).versions.history()
+    return spark.createDataFrame([(m.version, *(m.metrics[c] for c in ("leaves", "changed", "read_bytes", "kept_bytes"))) for m in runs], "run bigint, leaves bigint, changed bigint, read_bytes bigint, kept_bytes bigint")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    versions = merkle.history(**_snapshots(spark, sf))
-    return versions.select("source_object_id", "customer_id", "from_snapshot", "to_snapshot", F.col("is_deleted").cast("bigint").alias("deleted"))
+    return _history(spark, sf).read().select("source_object_id", "customer_id", "from_snapshot", "to_snapshot", F.col("is_deleted").cast("bigint").alias("deleted"))
 
 
 # -- 4: schema drift --------------------------------------------------------------------------
@@ -256,5 +276,5 @@ def p7_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p7_found, p7_runs)
+    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p6_runs, p7_found, p7_runs)
 }

@@ -99,7 +99,7 @@ _P6_VERSIONS = (
     + """, opened AS (
   SELECT source_object_id, rk, customer_id, 0 AS deleted FROM d WHERE rk = 1
   UNION ALL SELECT source_object_id, rk, customer_id, CAST(change_type = 'removed' AS INT) FROM cases),
-v6 AS (SELECT *, lead(rk) OVER (PARTITION BY source_object_id, customer_id ORDER BY rk) AS nxt FROM opened)
+v6 AS (SELECT *, lead(rk) OVER w AS nxt, CASE WHEN deleted = 1 THEN lag(rk) OVER w ELSE rk END AS shown FROM opened WINDOW w AS (PARTITION BY source_object_id, customer_id ORDER BY rk))
 """
 )
 _P6 = (
@@ -108,6 +108,18 @@ _P6 = (
 FROM v6 JOIN sn a ON a.source_object_id = v6.source_object_id AND a.rk = v6.rk LEFT JOIN sn b ON b.source_object_id = v6.source_object_id AND b.rk = v6.nxt"""
 )
 
+_P6_HISTORY = (
+    _P6_VERSIONS
+    + """, tk AS (SELECT source_object_id, snapshot_no, epoch_us(min(taken_at)) AS us FROM customer_snapshots GROUP BY ALL),
+snt AS (SELECT sn.*, us FROM sn JOIN tk USING (source_object_id, snapshot_no)),
+raw AS (SELECT source_object_id, rk, customer_id, customer_email, customer_phone, customer_city, customer_state, customer_zip_prefix FROM customer_snapshots JOIN sn USING (source_object_id, snapshot_no)
+  QUALIFY row_number() OVER (PARTITION BY source_object_id, snapshot_no, customer_id ORDER BY updated_at DESC NULLS LAST) = 1)
+SELECT v6.source_object_id, v6.customer_id, a.snapshot_no AS from_snapshot, coalesce(b.snapshot_no, 0) AS to_snapshot, a.us AS from_us, b.us AS to_us, b.snapshot_no IS NULL AS is_current, deleted = 1 AS is_deleted,
+  customer_email, customer_phone, customer_city, customer_state, customer_zip_prefix
+FROM v6 JOIN snt a ON a.source_object_id = v6.source_object_id AND a.rk = v6.rk LEFT JOIN snt b ON b.source_object_id = v6.source_object_id AND b.rk = v6.nxt
+LEFT JOIN raw ON raw.source_object_id = v6.source_object_id AND raw.customer_id IS NOT DISTINCT FROM v6.customer_id AND raw.rk = v6.shown"""
+)
+
 _P4 = """
 WITH sv AS (SELECT source_object_id AS o, version AS v, arg_max(schema_json, {'c': captured_at, 'j': schema_json}) AS j FROM schema_version WHERE schema_json IS NOT NULL GROUP BY ALL),
 f AS (SELECT o, v, x->>'name' AS n, x->>'type' AS t FROM (SELECT o, v, unnest(CAST(CAST(j AS JSON) AS JSON[])) AS x FROM sv)),
@@ -174,5 +186,5 @@ SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_
 
 ORACLES = {
     "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p2_as_known": _P2_AS_KNOWN, "p3_found": _P3, "p3_counts": _P3_COUNTS,
-    "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p7_found": _P7, "p7_runs": _P7_RUNS,
+    "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p6_history": _P6_HISTORY, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }
