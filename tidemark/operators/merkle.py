@@ -55,8 +55,8 @@ def node_at(h: Column, level: Column) -> Column:
 def newest_rows(rows: DataFrame, numbered: DataFrame, objects: DataFrame, depths: Column, *, obj: str, number: str, key: str, updated_at: str, compared: list[Column], carried: list[str]) -> DataFrame:
     """(object, rank, _key, h, node, row, incremental, carried...): one row per key and snapshot."""
     value = F.struct(F.col(updated_at).cast("bigint").alias("upd"), row_hash(compared).alias("row"), *carried)
-    newest = rows.select(F.col(obj), F.col(number), F.col(key).alias("_key"), value.alias("x")).groupBy(obj, number, "_key").agg(F.max("x").alias("x"))
-    out = newest.join(numbered, [obj, number]).join(objects, obj, "left").select(
+    newest = rows.select(F.col(obj), F.col(number), F.col(key).alias("_key"), value.alias("x")).join(numbered.select(obj, number, "rank"), [obj, number]).groupBy(obj, "rank", "_key").agg(F.max("x").alias("x"))
+    out = newest.join(objects, obj, "left").select(
         F.col(obj).alias("object"), "rank", "_key", key_hashes(F.col("_key"))[0].alias("h"), F.col("x.row").alias("row"), F.coalesce("incremental", F.lit(False)).alias("incremental"), *(F.col(f"x.{c}").alias(c) for c in carried)
     )
     return out.withColumn("node", node_at(F.col("h"), depths))
@@ -73,21 +73,22 @@ def trees(newest: DataFrame, depths: Column) -> DataFrame:
     return tree.select("object", "rank", "level", "node", F.xxhash64("x", "s", "n").alias("digest"))
 
 
-def changed_leaves(tree: DataFrame, lasts: Column, depths: Column, deepest: int) -> DataFrame:
-    """(object, rank, node): the leaves of each new snapshot that differ from the snapshot before. ``tree`` also has the last stored snapshot of each object; ``lasts`` is the rank of its last new one."""
+def changed_leaves(tree: DataFrame, stored: DataFrame | None, lasts: Column, depths: Column, used: set[int]) -> DataFrame:
+    """(object, rank, node): the leaves of each new snapshot that differ from the snapshot before. ``stored``: the tree of each object's last snapshot; ``lasts``: the rank of its last new one; ``used``: the depths in use."""
     leaves, differing = [], None
-    for level in range(deepest + 1):
+    for level in range(max(used) + 1):
         here = tree.filter(F.col("level") == level)
-        after = here.filter(F.col("rank") < lasts).select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now"))
-        sides = here.filter("not stored").select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(after)
+        before = here if stored is None else here.unionByName(stored.filter(F.col("level") == level))
+        after = before.filter(F.col("rank") < lasts).select("object", (F.col("rank") + 1).alias("rank"), "node", "digest", F.lit(False).alias("now"))
+        sides = here.select("object", "rank", "node", "digest", F.lit(True).alias("now")).unionByName(after)
         if differing is not None:
             # only children of nodes that differ are looked at
             above = differing.select("object", "rank", F.col("node").alias("_parent"))
             sides = sides.withColumn("_parent", F.call_function("shiftrightunsigned", F.col("node"), F.lit(BITS))).join(above, ["object", "rank", "_parent"], "left_semi")
         pair = sides.groupBy("object", "rank", "node").agg(F.max(F.when(F.col("now"), F.col("digest"))).alias("a"), F.max(F.when(~F.col("now"), F.col("digest"))).alias("b"))
         differing = pair.filter("not (a <=> b)").select("object", "rank", "node")
-        if level:
-            leaves.append(differing.filter(depths == level))
+        if level in used:
+            leaves.append(differing.filter(depths == level) if len(used) > 1 else differing)
     out = leaves[0]
     for part in leaves[1:]:
         out = out.unionByName(part)
@@ -152,15 +153,17 @@ class MerkleHistory:
             return {"version": base, "leaves": 0, "changed": 0, "read": 0}
         depths, lasts = _by_object(kept_objects, "depth"), _by_object(kept_objects, "last")
         newest = materialise(newest_rows(rows, numbered, objects, depths, **self.names), "merkle-rows")
-        tree = trees(newest, depths).withColumn("stored", F.lit(False))
-        old_tree = self.tree.read(state["tree"]) if m else None
-        if m:
-            tree = tree.unionByName(old_tree.withColumn("stored", F.lit(True)))
-        tree = materialise(tree, "merkle-tree", partition="level")
+        tree = materialise(trees(newest, depths), "merkle-tree", partition="level")
+        stored = self.tree.read(state["tree"]) if m else None
         place = F.row_number().over(Window.partitionBy("object", "node").orderBy("rank"))
-        changed = materialise(changed_leaves(tree, lasts, depths, max(s["depth"] for s in kept_objects.values())).withColumn("place", place), "merkle-changed")
+        changed = materialise(changed_leaves(tree, stored, lasts, depths, {s["depth"] for s in kept_objects.values()}).withColumn("place", place), "merkle-changed")
         all_versions, own = self._versions(newest, changed, m, kept_objects)
-        return self._publish(base, m, state, all_versions, own, tree, numbered, kept_objects, fresh, lasts, changed)
+        # the trees of the last snapshots take the place of those before
+        trunk = tree.filter(F.col("rank") == lasts)
+        if stored is not None:
+            trunk = trunk.unionByName(stored.filter(~F.col("object").cast("string").isin(list(fresh))))
+        leaves = tree.filter(F.col("level") == depths)
+        return self._publish(base, m, all_versions, own, trunk, leaves, changed, numbered, kept_objects)
 
     def _versions(self, newest: DataFrame, changed: DataFrame, m, kept_objects: dict) -> tuple[DataFrame, list]:
         """All versions of the files whose leaves differ: closed ones have ``to_rank``. And these files."""
@@ -194,20 +197,17 @@ class MerkleHistory:
         kept = {c: F.when(F.col("_new") & F.col("is_deleted"), F.lag(c).over(w)).otherwise(F.col(c)) for c in carried}
         return every.withColumns({**kept, "to_rank": F.lead("from_rank").over(w)}).drop("_new"), own
 
-    def _publish(self, base: int, m, state: dict, all_versions: DataFrame, own: list, tree: DataFrame, numbered: DataFrame, kept_objects: dict, fresh: set, lasts: Column, changed: DataFrame) -> dict:
-        spread = materialise(all_versions.withColumn("__file", self.file_range(kept_objects)), "merkle-versions")
+    def _publish(self, base: int, m, all_versions: DataFrame, own: list, trunk: DataFrame, leaves: DataFrame, changed: DataFrame, numbered: DataFrame, kept_objects: dict) -> dict:
         tasks = max(1, min(sum(s["files"] for s in kept_objects.values()), 4 * self.spark.sparkContext.defaultParallelism))
-        files = self.versions.stage(spread.filter("to_rank is null").repartition(tasks, "__file").sortWithinPartitions("__file", "h"), "__file")
-        files += self.versions.stage(spread.filter("to_rank is not null").drop("__file").coalesce(tasks))
-        # the trees of the last snapshots take the place of those before
-        last = tree.filter((F.col("rank") == lasts) & (~F.col("stored") | ~F.col("object").cast("string").isin(list(fresh)))).drop("stored")
-        properties = {STATE: {"objects": kept_objects, "tree": self._replace(self.tree, last), "snapshots": self._replace(self.snapshots, numbered if m is None else self._known(m).unionByName(numbered))}}
-        counts = changed.agg(F.count("*").alias("n")).first().n
-        leaves = tree.filter(~F.col("stored") & (F.col("level") == _by_object(kept_objects, "depth"))).count()
-        read = sum(f.bytes for f in own)
-        figures = {"leaves": leaves, "changed": counts, "read_bytes": read, "kept_bytes": sum(f.bytes for f in m.files if f not in own) if m else 0}
-        version = self.versions.commit(base, "snapshots", nullable(T.StructType([f for f in spread.schema if f.name != "__file"])), [*(f for f in (m.files if m else []) if f not in own), *files], figures, properties)
-        return {"version": version, "leaves": leaves, "changed": counts, "read": read}
+        # closed versions belong to no range and are spread as they come
+        open_in = F.when(F.col("to_rank").isNull(), self.file_range(kept_objects))
+        placed = all_versions.withColumn("__file", open_in).repartition(tasks, "__file", F.when(F.col("__file").isNull(), F.pmod("h", F.lit(tasks)))).sortWithinPartitions("__file", "h")
+        files = self.versions.stage(placed, "__file")
+        properties = {STATE: {"objects": kept_objects, "tree": self._replace(self.tree, trunk), "snapshots": self._replace(self.snapshots, numbered if m is None else self._known(m).unionByName(numbered))}}
+        kept = [f for f in m.files if f not in own] if m else []
+        figures = {"leaves": leaves.count(), "changed": changed.count(), "read_bytes": sum(f.bytes for f in own), "kept_bytes": sum(f.bytes for f in kept)}
+        version = self.versions.commit(base, "snapshots", nullable(all_versions.schema), [*kept, *files], figures, properties)
+        return {"version": version, "leaves": figures["leaves"], "changed": figures["changed"], "read": figures["read_bytes"]}
 
     @staticmethod
     def _replace(table: VersionedTable, df: DataFrame, retries: int = 5) -> int:

@@ -150,10 +150,12 @@ def _history(spark: SparkSession, sf: str, carried: list[str] | None = None) ->
     s = _snapshots(spark, sf)
     rows, objects = s.pop("rows"), s.pop("objects")
     order = snapdiff.ordered_snapshots(rows, s["obj"], s["number"], s["taken_at"])
-    earlier = order.filter("rank < last or last = 1").select(s["obj"], s["number"])
+    order = materialise(order.select(s["obj"], s["number"], (F.col("rank") < F.greatest("last", F.lit(2))).alias("_early")), "snapshot-order")
+    early = rows.join(order.filter("_early").select(s["obj"], s["number"]), [s["obj"], s["number"]], "left_semi")
+    late = rows.join(order.filter("not _early").select(s["obj"], s["number"]), [s["obj"], s["number"]], "left_semi")
     out = merkle.MerkleHistory(spark, new_path(spark, "history"), **s, carried=carried)
-    out.add(rows.join(earlier, [s["obj"], s["number"]], "left_semi"), objects)
-    out.add(rows, objects)
+    out.add(early, objects)
+    out.add(late, objects)
     return out
 
 
