@@ -1,6 +1,6 @@
 """Full history of changing records from periodic snapshots, kept by Merkle comparison.
 
-The keys of an object are hashed into 16**depth leaves; the depth is chosen when the object first appears, so that a leaf holds about ten keys (few, since one changed key makes its whole leaf differ), and kept. Each snapshot has, for every leaf, a digest of its records, and
+The keys of an object are hashed into 64**depth leaves; the depth is chosen when the object first appears, so that a leaf holds about ten keys (few, since one changed key makes its whole leaf differ), and kept. Each snapshot has, for every leaf, a digest of its records, and
 for every node above, a digest of its children, up to the root. A snapshot is compared with the one before it from the root: only below differing nodes are children compared, and only the records
 of leaves that differ are set against each other to give new versions.
 
@@ -32,14 +32,14 @@ from tidemark.runtime import materialise, new_path
 from tidemark.storage.keyed import PER_BUCKET
 from tidemark.storage.table import CommitConflict, VersionedTable, nullable
 
-BITS = 4
+BITS = 6
 PER_LEAF = 8
-DEEPEST = 15
+DEEPEST = 10
 STATE = "merkle"
 
 
 def depth_for(keys: int, per_leaf: int) -> int:
-    """Levels below the root so that a leaf has about ``per_leaf`` keys, at most four times as many."""
+    """Levels below the root so that a leaf has about ``per_leaf`` keys, at most eight times as many."""
     return max(1, min(DEEPEST, math.floor(math.log(max(keys / per_leaf, 1), 2**BITS) + 0.5)))
 
 
@@ -136,10 +136,12 @@ class MerkleHistory:
         return out
 
     @staticmethod
-    def file_range(objects: dict[str, dict]) -> Column:
-        """Which range of an object's leaves a key lies in: a file's leaves are neighbours."""
-        top = F.call_function("shiftrightunsigned", F.col("h"), F.lit(32))
-        return (_by_object(objects, "first") + F.call_function("shiftrightunsigned", top * _by_object(objects, "files"), F.lit(32))).cast("int")
+    def file_range(objects: dict[str, dict], node: Column) -> Column:
+        """Which range of its object's leaves a leaf belongs to: a file's leaves are neighbours, and no leaf lies in two files."""
+        shift = lambda c, by: F.call_function("shiftrightunsigned", c, by.cast("int"))
+        bits = BITS * _by_object(objects, "depth")
+        top = shift(node, F.greatest(bits - 30, F.lit(0)))
+        return (_by_object(objects, "first") + shift(top * _by_object(objects, "files"), F.least(bits, F.lit(30)))).cast("int")
 
     def add(self, rows: DataFrame, objects: DataFrame) -> dict:
         """Adds the snapshots in ``rows`` as one commit. ``objects``: obj and ``incremental``. Returns how much was new, differed and was read."""
@@ -170,8 +172,7 @@ class MerkleHistory:
         carried, columns = self.names["carried"], ["object", "_key", "h", "row", "incremental", *self.names["carried"]]
         depths, stored, own = _by_object(kept_objects, "depth"), None, []
         if m:
-            reach = F.call_function("shiftleft", F.col("node"), (64 - BITS * depths).cast("int"))
-            touched = {r[0] for r in changed.select("object", reach.alias("h")).select(self.file_range(kept_objects).alias("f")).distinct().collect()}
+            touched = {r[0] for r in changed.select(self.file_range(kept_objects, F.col("node")).alias("f")).distinct().collect()}
             own = [f for f in m.files if f.bucket in touched]
             stored = self.versions._frame(m.struct, [f.path for f in own])
         met = newest.join(changed.select("object", "rank", "node", "place"), ["object", "rank", "node"]).select(*columns, "node", "rank", "place", F.lit(False).alias("_prior"))
@@ -200,7 +201,7 @@ class MerkleHistory:
     def _publish(self, base: int, m, all_versions: DataFrame, own: list, trunk: DataFrame, leaves: DataFrame, changed: DataFrame, numbered: DataFrame, kept_objects: dict) -> dict:
         tasks = max(1, min(sum(s["files"] for s in kept_objects.values()), 4 * self.spark.sparkContext.defaultParallelism))
         # closed versions belong to no range and are spread as they come
-        open_in = F.when(F.col("to_rank").isNull(), self.file_range(kept_objects))
+        open_in = F.when(F.col("to_rank").isNull(), self.file_range(kept_objects, node_at(F.col("h"), _by_object(kept_objects, "depth"))))
         placed = all_versions.withColumn("__file", open_in).repartition(tasks, "__file", F.when(F.col("__file").isNull(), F.pmod("h", F.lit(tasks)))).sortWithinPartitions("__file", "h")
         files = self.versions.stage(placed, "__file")
         properties = {STATE: {"objects": kept_objects, "tree": self._replace(self.tree, trunk), "snapshots": self._replace(self.snapshots, numbered if m is None else self._known(m).unionByName(numbered))}}
