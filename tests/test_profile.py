@@ -1,6 +1,10 @@
+import math
 import random
 import statistics
+from datetime import date, datetime
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -8,7 +12,6 @@ from tidemark.operators import profile
 from tidemark.operators.profile import ColumnSpec, ValueCountStore, value_counts
 
 
-
 def specs():
     return [ColumnSpec("n", "number", F.col("n") < 0), ColumnSpec("k", "category"), ColumnSpec("x")]
 
@@ -21,13 +24,13 @@ def test_figures_against_brute_force(spark):
     r = random.Random(1)
     data = [(r.randrange(4), r.choice([None, 0, -3, r.randrange(10), r.randrange(1 << 50)]), r.choice("ab"), r.choice([None, "", "ü" * 5000, "q"]), "v", "s") for _ in range(600)]
     counts = value_counts(frame(spark, data), "t", "load_no", specs())
-    got = {(x.load, x.column_name): x for x in profile.load_profile(counts, ["n"], profile.largest_bits(counts, ["n"])).collect()}
+    got = {(x.load, x.column_name): x for x in profile.load_profile(counts).collect()}
     for load in range(4):
         own = [d for d in data if d[0] == load]
         n = [d[1] for d in own if d[1] is not None]
         x = got[load, "n"]
         assert (x.n_rows, x.nulls, x.n_distinct, x.min_value, x.max_value) == (len(own), len(own) - len(n), len(set(n)), min(n), max(n))
-        assert x.median == statistics.median([max(v, 0) for v in n])
+        assert x.median == statistics.median(n) and x.level == statistics.median([max(v, 0) for v in n])
         assert abs(x.broken_share - sum(v < 0 for v in n) / len(n)) < 1e-9
         assert abs(x.zero_share - n.count(0) / len(n)) < 1e-9
         assert got[load, "x"].n_distinct == len({d[3] for d in own} - {None})
@@ -49,8 +52,7 @@ def test_withdrawn_load_leaves_no_trace(spark, tmp_path):
 
 def departures(spark, data):
     counts = value_counts(frame(spark, data), "t", "load_no", specs())
-    p = profile.load_profile(counts, ["n"], 63)
-    return rows(profile.departures(counts, p, ["n"], ["k"]).select("load", "column_name", F.concat_ws(",", "reasons")))
+    return rows(profile.departures(counts, profile.load_profile(counts), ["k"]).select("load", "column_name", F.concat_ws(",", "reasons")))
 
 
 def test_departures(spark):
@@ -67,11 +69,39 @@ def test_departures(spark):
 
 def test_all_null_and_empty(spark):
     assert departures(spark, []) == []
-    x = profile.load_profile(value_counts(frame(spark, [(1, None, None, None, None, None)]), "t", "load_no", specs()), ["n"]).filter("column_name = 'n'").first()
+    x = profile.load_profile(value_counts(frame(spark, [(1, None, None, None, None, None)]), "t", "load_no", specs())).filter("column_name = 'n'").first()
     assert (x.median, x.null_share, x.entropy, x.broken_share) == (None, 1.0, 0.0, None)
 
 
 def test_even_count_median_is_between(spark):
     data = [(1, v, None, None, None, None) for v in (0, 10, 20, 1 << 40)]
-    x = profile.load_profile(value_counts(frame(spark, data), "t", "load_no", specs()), ["n"]).filter("column_name = 'n'").first()
+    x = profile.load_profile(value_counts(frame(spark, data), "t", "load_no", specs())).filter("column_name = 'n'").first()
     assert x.median == 15
+
+
+def one(spark, kind, values):
+    df = spark.createDataFrame([(1, v) for v in values], f"load long, c {kind}")
+    return profile.load_profile(value_counts(df, "t", "load", [ColumnSpec("c", "number")])).first()
+
+
+@pytest.mark.parametrize("values", [[1.2, 1.9, -5.5], [0.1, -0.1, 1e300, -1e300, 5e-324, -2.5, 3.0, 0.0], [-1.5, -2.5], [1e-310, 2.0]])
+def test_floating_point_numbers_are_exact(spark, values):
+    x = one(spark, "double", [*values, None, values[0]])
+    given = [*values, values[0]]
+    assert (x.n_distinct, x.min_value, x.max_value, x.nulls) == (len(set(values)), min(values), max(values), 1)
+    assert x.median == statistics.median(given)
+
+
+def test_special_doubles(spark):
+    x = one(spark, "double", [float("inf"), -0.0, 0.0, float("-inf"), float("nan")])
+    assert x.n_distinct == 4 and x.min_value == float("-inf") and math.isnan(x.max_value) and x.median == 0.0 and x.zero_share == 0.4
+
+
+def test_decimals_dates_and_times(spark):
+    x = one(spark, "decimal(12,2)", [Decimal("-1.25"), Decimal("3.10"), Decimal("0.00")])
+    assert (x.n_distinct, x.min_value, x.max_value, x.median, x.zero_share) == (3, -1.25, 3.1, 0.0, 1 / 3)
+    assert one(spark, "decimal(30,2)", [Decimal("12345678901234567890.25"), Decimal("-1")]).max_value == 12345678901234567890.25
+    x = one(spark, "date", [date(1969, 12, 31), date(1970, 1, 3)])
+    assert (x.min_value, x.max_value, x.median) == (-1, 2, 0.5)
+    assert one(spark, "timestamp_ntz", [datetime(1970, 1, 1, 0, 0, 1)]).median == 1_000_000
+    assert one(spark, "long", [-(1 << 62), 7, 1 << 62]).median == 7

@@ -1,16 +1,19 @@
 """Column profiles from maintained value counts.
 
-Every load adds signed counts ``(scope, load, column, value, broken, n)`` to a persistent table: +n for the values
-it brings, -n where a load is withdrawn or replaced. The counts of a column at any moment are the sums of its
+Every load adds signed counts ``(scope, load, column, value, n, b)`` to a persistent table: +n rows with a value, b of them breaking the column's form, for the values
+it brings, -n and -b where a load is withdrawn or replaced. The counts of a column at any moment are the sums of its
 deltas, and every figure of a profile (rows, null share, distinct values, range, median, zeros, broken forms, shares,
 entropy) is exact, since it is computed from the counts and not from a sketch.
 
+A value is counted under its text. Values of number columns also have a ``num``, a whole number in their order: integers are their own, decimals count their last digit, floating point numbers are their sign and bits, dates and
+timestamps are days and microseconds; minimum, maximum and median are found among these and turned back. Decimals of more than 18 digits are ordered as floating point numbers.
+
 Defined cases: a null counts as a row with null value; an empty text is a value; an empty load changes nothing; a
-column without non-null values has null range, median and shares and entropy 0; repeated rows count each time; columns that aren't
+column without non-null values has null range, median and shares and entropy 0; NaN is a value above all others, -0.0 is 0.0; repeated rows count each time; columns that aren't
 named in the specification are ignored, whatever their names.
 
 Scale: rows are folded map-side into value counts before the only shuffle, so a hot load or value costs no more
-than any other. Ranks are found by radix descent over 21-bit digits, so that no window holds over 2^21 rows.
+than any other. Ranks are found by radix descent over 21-bit digits, so that no window holds over 2^22 rows.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.runtime import materialise
 from tidemark.storage.table import VersionedTable
 
 DIGIT = 21
@@ -35,21 +40,73 @@ class ColumnSpec:
     breaks: Column | None = None
 
 
+def form_of(kind: T.DataType) -> str:
+    """How ``num`` stands for a value: i, d and the scale, f, D or T."""
+    if isinstance(kind, T.DecimalType):
+        return f"d{kind.scale}" if kind.precision <= 18 else "f"
+    if isinstance(kind, T.DateType):
+        return "D"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "T"
+    return "f" if isinstance(kind, (T.DoubleType, T.FloatType)) else "i"
+
+
+def float_order(c: Column) -> Column:
+    """A double's sign and bits as a whole number in the order of doubles, read from its exact hexadecimal form."""
+    x = c.cast("double") + F.lit(0.0)
+    text = F.format_string("%a", F.abs(x))
+    normal = F.substring(text, 3, 1) == "1"
+    mantissa = F.conv(F.rpad(F.regexp_extract(text, r"\.([0-9a-f]+)p", 1), 13, "0"), 16, 10).cast("bigint")
+    power = F.when(normal, F.regexp_extract(text, r"p(-?\d+)$", 1).cast("bigint") + 1023).otherwise(0)
+    endless = F.when(F.isnan(x), F.lit(0x7FF8 << 48)).when(F.abs(x) == float("inf"), F.lit(0x7FF << 52))
+    bits = F.coalesce(endless, F.shiftleft(power, 52) + mantissa)
+    return F.when(x.isNotNull(), F.when((x < 0) & ~F.isnan(x), -bits).otherwise(bits))  # a null's text is "null"
+
+
+def float_back(num: Column) -> Column:
+    bits = F.abs(num)
+    power, mantissa = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    size = F.when(power == 2047, F.when(mantissa == 0, float("inf")).otherwise(float("nan"))).when(power == 0, mantissa * F.lit(2.0**-1022)).otherwise((mantissa + 1) * F.pow(F.lit(2.0), (power - 1023).cast("double")))
+    return F.when(num < 0, -size).otherwise(size)
+
+
+def number_of(c: Column, kind: T.DataType) -> Column:
+    form = form_of(kind)
+    if form == "f":
+        return float_order(c)
+    if form[0] == "d":
+        return (c * F.lit(10 ** kind.scale)).cast("decimal(38,0)").cast("bigint")
+    if form in "DT":
+        return F.unix_date(c).cast("bigint") if form == "D" else F.unix_micros(c.cast("timestamp"))
+    return c.cast("bigint")
+
+
+def back(num: Column, form: Column) -> Column:
+    """The value that ``num`` stands for, as a double; days and microseconds for dates and times."""
+    scale = F.pow(F.lit(10.0), F.substring(form, 2, 2).cast("double"))
+    return F.when(form == "f", float_back(num)).when(F.substring(form, 1, 1) == "d", num / scale).otherwise(num.cast("double"))
+
+
 def value_counts(rows: DataFrame, scope: str, load: str, specs: list[ColumnSpec]) -> DataFrame:
-    """(scope, load, column_name, value, broken, n) of each load; values as text, numbers as whole numbers."""
+    """(scope, load, column_name, form, num, value, n, b) of each load. ``form`` is null for columns that aren't numbers."""
     def item(s: ColumnSpec) -> Column:
-        c = F.col(s.name)
-        c = c.cast("bigint") if s.kind == "number" else c
+        c, kind = F.col(f"`{s.name}`"), rows.schema[s.name].dataType
         broken = F.lit(False) if s.breaks is None else F.coalesce(s.breaks, F.lit(False)) & c.isNotNull()
-        return F.struct(F.lit(s.name).alias("column_name"), c.cast("string").alias("value"), broken.alias("broken"))
+        number = s.kind == "number"
+        text = (c + F.lit(0.0).cast(kind)) if number and isinstance(kind, (T.DoubleType, T.FloatType)) else c
+        form, num = (F.lit(form_of(kind)), number_of(c, kind)) if number else (F.lit(None).cast("string"), F.lit(None).cast("bigint"))
+        return F.struct(F.lit(s.name).alias("column_name"), form.alias("form"), num.alias("num"), text.cast("string").alias("value"), broken.alias("broken"))
 
     return (
         rows.select(F.lit(scope).alias("scope"), F.col(load).cast("bigint").alias("load"), F.explode(F.array(*map(item, specs))).alias("x"))
-        .groupBy("scope", "load", "x.column_name", "x.value", "x.broken")
-        .agg(F.count("*").alias("n"))
+        .groupBy("scope", "load", "x.column_name", "x.form", "x.num", "x.value")
+        .agg(F.count("*").alias("n"), F.count_if("x.broken").alias("b"))
     )
 
 
+COUNTED = [*KEYS, "form", "num", "value"]
+
+
 class ValueCountStore:
     """The persistent value counts of some tables' columns."""
 
@@ -58,15 +115,22 @@ class ValueCountStore:
 
     def apply(self, rows: DataFrame, scope: str, load: str, specs: list[ColumnSpec], sign: int = 1) -> int:
         """Adds (or, with sign -1, takes away) the counts of the loads in ``rows``: one atomic commit."""
-        return self.table.append(value_counts(rows, scope, load, specs).withColumn("n", F.col("n") * sign))
+        return self.apply_deltas([value_counts(rows, scope, load, specs)], sign)
+
+    def apply_deltas(self, deltas: list[DataFrame], sign: int = 1) -> int:
+        """Adds (or takes away) the value counts of several tables in one commit."""
+        every = deltas[0]
+        for d in deltas[1:]:
+            every = every.unionByName(d)
+        return self.table.append(every.withColumns({"n": F.col("n") * sign, "b": F.col("b") * sign}))
 
     def withdraw(self, scope: str, loads: list[int]) -> int:
         """Takes stored loads away again without reading their rows."""
         old = self.counts().filter((F.col("scope") == scope) & F.col("load").isin(loads))
-        return self.table.append(old.withColumn("n", -F.col("n")))
+        return self.apply_deltas([old], -1)
 
     def counts(self) -> DataFrame:
-        return self.table.read().groupBy(*KEYS, "value", "broken").agg(F.sum("n").alias("n")).filter("n <> 0")
+        return self.table.read().groupBy(*COUNTED).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).filter("n <> 0 or b <> 0")
 
     def maintained(self) -> DataFrame:
         """The counts as they are stored; the same as ``counts`` right after ``compact``, without summing again."""
@@ -80,14 +144,15 @@ class ValueCountStore:
 def ranks(counts: DataFrame, keys: list[str], value: str, n: str, targets: DataFrame, bits: int = 63) -> DataFrame:
     """The values at given ranks: (keys, rank, value).
 
-    counts: keys, value (not negative) and its count; targets: keys and rank (from 1).
+    counts: keys, value and its count; targets: keys and rank (from 1). ``bits``: how many the largest absolute value has.
     The value is found digit by digit from the top: each step sums the counts of one digit below the digits already
     known and picks the first whose running sum reaches the rank.
     """
-    state = targets.select(*keys, "rank", F.col("rank").alias("_left"), F.lit(0).cast("bigint").alias("_prefix"))
-    for shift in range(DIGIT * ((max(bits, 1) - 1) // DIGIT), -1, -DIGIT):
+    state, top = targets.select(*keys, "rank", F.col("rank").alias("_left"), F.lit(0).cast("bigint").alias("_prefix")), DIGIT * ((max(bits, 1) - 1) // DIGIT)
+    for shift in range(top, -1, -DIGIT):
         part = counts.select(*keys, F.shiftright(value, shift).alias("_digit"), F.col(n).alias("_n")).groupBy(*keys, "_digit").agg(F.sum("_n").alias("_n"))
-        hit = part.withColumn("_above", F.shiftright("_digit", DIGIT)).join(state.withColumnRenamed("_prefix", "_above"), [*keys, "_above"])
+        above = F.lit(0).cast("bigint") if shift == top else F.shiftright("_digit", DIGIT)  # the top digit has the sign
+        hit = part.withColumn("_above", above).join(state.withColumnRenamed("_prefix", "_above"), [*keys, "_above"])
         w = Window.partitionBy(*keys, "rank").orderBy("_digit")
         state = (
             hit.withColumn("_sum", F.sum("_n").over(w))
@@ -97,47 +162,38 @@ def ranks(counts: DataFrame, keys: list[str], value: str, n: str, targets: DataF
     return state.select(*keys, "rank", F.col("_prefix").alias("value"))
 
 
-def load_profile(counts: DataFrame, numbers: list[str], bits: int = 63) -> DataFrame:
-    """One row per scope, load and column with its figures.
+def load_profile(counts: DataFrame) -> DataFrame:
+    """One row per scope, load and column with its figures. ``counts``: one row per value of each, as a compacted store has them.
 
-    ``numbers``: names of number columns, whose median takes negative values as 0. ``bits`` that the largest value has.
+    min_value, max_value and median are doubles (of dates and times days and microseconds); ``level`` is the median with negative values taken as 0.
     """
-    num = F.when(F.col("column_name").isin(numbers), F.col("value").cast("bigint"))
-    per_value = counts.groupBy(*KEYS, "value").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("broken"), F.col("n")).otherwise(0)).alias("b"))
     known = F.col("value").isNotNull()
-    figures = (
-        per_value.withColumn("num", num)
-        .groupBy(*KEYS)
-        .agg(
-            F.sum("n").alias("n_rows"),
-            F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("nulls"),
-            F.sum(F.when(known, 1).otherwise(0)).alias("n_distinct"),
-            F.sum("b").alias("broken"),
-            F.sum(F.when(F.col("num") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-            F.min("num").alias("min_value"),
-            F.max("num").alias("max_value"),
-            F.sum(F.when(known, F.col("n") * F.log2("n")).otherwise(0.0)).alias("_nlogn"),
-        )
-        .withColumn("n_known", F.col("n_rows") - F.col("nulls"))
-    )
-    numeric = per_value.withColumn("num", num).filter("num is not null").select(*KEYS, F.greatest("num", F.lit(0)).alias("num"), "n")
-    targets = figures.filter(F.col("column_name").isin(numbers) & (F.col("n_known") > 0)).select(
+    zero = F.when(F.col("num") == 0, F.col("n")).otherwise(0)
+    figures = counts.groupBy(*KEYS).agg(
+        F.max("form").alias("form"), F.sum("n").alias("n_rows"), F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("nulls"), F.sum(F.when(known, 1).otherwise(0)).alias("n_distinct"),
+        F.sum("b").alias("broken"), F.sum(zero).alias("zeros"), F.min("num").alias("_low"), F.max("num").alias("_high"), F.sum(F.when(known, F.col("n") * F.log2("n")).otherwise(0.0)).alias("_nlogn"),
+    )
+    figures = materialise(figures.withColumn("n_known", F.col("n_rows") - F.col("nulls")), "figures")
+    top = figures.agg(F.max(F.greatest(F.abs("_low"), F.abs("_high")))).first()[0]
+    targets = figures.filter("form is not null and n_known > 0").select(
         *KEYS, F.explode(F.array_distinct(F.array(F.floor((F.col("n_known") + 1) / 2), F.floor((F.col("n_known") + 2) / 2)))).alias("rank")
     )
-    median = ranks(numeric, KEYS, "num", "n", targets, bits).groupBy(*KEYS).agg(F.avg("value").alias("median"))
+    middle = ranks(counts.filter("num is not null"), KEYS, "num", "n", targets, int(top or 0).bit_length()).groupBy(*KEYS).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     share = lambda x: F.when(F.col("n_known") > 0, F.col(x) / F.col("n_known"))
+    real = lambda c: back(F.col(c), F.col("form"))
     return (
-        figures.join(median, KEYS, "left")
+        figures.join(middle, KEYS, "left")
         .withColumns(
             {
+                "min_value": real("_low"), "max_value": real("_high"), "median": (real("_lo") + real("_hi")) / 2, "level": (F.greatest(real("_lo"), F.lit(0.0)) + F.greatest(real("_hi"), F.lit(0.0))) / 2,
                 "null_share": F.col("nulls") / F.col("n_rows"),
                 "broken_share": share("broken"),
-                "zero_share": F.when(F.col("column_name").isin(numbers), share("zeros")),
+                "zero_share": F.when(F.col("form").isNotNull(), share("zeros")),
                 "entropy": F.when(F.col("n_known") > 0, F.log2("n_known") - F.col("_nlogn") / F.col("n_known")).otherwise(0.0),
             }
         )
-        .drop("_nlogn", "zeros", "broken")
-    )
+        .drop("_nlogn", "_low", "_high", "_lo", "_hi", "zeros", "broken")
+    )
 
 
 @dataclass(frozen=True)
@@ -155,10 +211,10 @@ class Limits:
 EPS = 1e-9
 
 
-def departures(counts: DataFrame, profile: DataFrame, numbers: list[str], categories: list[str], limits: Limits = Limits()) -> DataFrame:
+def departures(counts: DataFrame, profile: DataFrame, categories: list[str], limits: Limits = Limits()) -> DataFrame:
     """(scope, load, column_name, reasons) of the columns of loads that depart from the usual state of their table."""
-    number = F.col("column_name").isin(numbers)
-    shifted = profile.withColumn("_level", F.col("median") + 1)
+    number = F.col("form").isNotNull()
+    shifted = profile.withColumn("_level", F.col("level") + 1)
     usual = shifted.groupBy("scope", "column_name").agg(*(F.median(c).alias(f"_usual_{c}") for c in ("null_share", "n_distinct", "_level", "zero_share")))
     u = lambda c: F.col(f"_usual_{c}")
     far = lambda c, by: F.abs(F.col(c) - u(c)) >= by - EPS
@@ -182,7 +238,6 @@ def _share_departures(counts: DataFrame, profile: DataFrame, categories: list[st
     loads = profile.filter(F.col("column_name").isin(categories) & (F.col("n_known") > 0)).select(*KEYS, "n_known")
     shares = (
         counts.filter(F.col("column_name").isin(categories) & F.col("value").isNotNull())
-        .groupBy(*KEYS, "value").agg(F.sum("n").alias("n"))
         .join(loads, KEYS)
         .select(*KEYS, "value", (F.col("n") / F.col("n_known")).alias("share"))
     )
@@ -198,13 +253,7 @@ def _share_departures(counts: DataFrame, profile: DataFrame, categories: list[st
     return present.select(*KEYS).unionByName(missed.select(*KEYS)).distinct().withColumn("reason", F.lit("value_share"))
 
 
-def state_profile(counts: DataFrame, numbers: list[str], bits: int = 63) -> DataFrame:
+def state_profile(counts: DataFrame) -> DataFrame:
     """The profile of each column of the tables as they now are: all loads together."""
-    return load_profile(counts.withColumn("load", F.lit(None).cast("bigint")).groupBy(*KEYS, "value", "broken").agg(F.sum("n").alias("n")).withColumn("load", F.lit(0).cast("bigint")), numbers, bits).drop("load")
-
-
-def largest_bits(counts: DataFrame, numbers: list[str]) -> int:
-    """Bits of the largest number among the counted values: how many digits ``ranks`` must read."""
-    top = counts.filter(F.col("column_name").isin(numbers)).agg(F.max(F.col("value").cast("bigint"))).first()[0]
-    return max(int(top or 0), 1).bit_length()
-
+    whole = counts.groupBy("scope", "column_name", "form", "num", "value").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).filter("n <> 0").withColumn("load", F.lit(0).cast("bigint"))
+    return load_profile(whole).drop("load")

@@ -40,42 +40,60 @@ def _specs() -> dict[str, list[ColumnSpec]]:
     }
 
 
-def value_count_store(spark: SparkSession, sf: str) -> profile.ValueCountStore:
-    """The value counts of both tables, each load being a signed delta."""
+def value_count_store(spark: SparkSession, sf: str, compact: bool = True) -> profile.ValueCountStore:
+    """The value counts of both tables: one signed delta with the loads before the newest, one with the newest."""
     store = profile.ValueCountStore(spark, new_path(spark, "value-counts"))
-    for name, specs in _specs().items():
-        store.apply(table(spark, sf, name), name, "load_no", specs)
-    store.compact()
+    rows = {name: table(spark, sf, name) for name in _specs()}
+    newest = {name: df.agg(F.max("load_no")).first()[0] for name, df in rows.items()}
+    last = lambda name: F.coalesce(F.col("load_no") == F.lit(newest[name]), F.lit(False))
+    for late in (False, True):
+        store.apply_deltas([profile.value_counts(df.filter(last(name) if late else ~last(name)), name, "load_no", _specs()[name]) for name, df in rows.items()])
+    if compact:
+        store.compact()
     return store
 
 
-def _names(kind: str) -> list[str]:
-    return sorted({s.name for specs in _specs().values() for s in specs if s.kind == kind})
+CATEGORIES = ["layer", "severity"]
+_PROFILE = ["n_rows", "nulls", "n_distinct", "min_value", "max_value"]
+
+
+def _shown(figures: DataFrame, *more: str) -> DataFrame:
+    rounded = [F.round("median", 3).alias("median"), *(F.round(c, 6).alias(c) for c in more), F.round("entropy", 6).alias("entropy")]
+    return figures.select(F.col("scope").alias("table_name"), *([F.col("load").alias("load_no")] if "load" in figures.columns else []), "column_name", *_PROFILE, *rounded)
 
 
 def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Every considered column of every load: nulls, distinct values, range, median, zeros, broken forms and entropy."""
-    counts = value_count_store(spark, sf).maintained()
-    return profile.load_profile(counts, _names("number"), profile.largest_bits(counts, _names("number"))).select(
-        F.col("scope").alias("table_name"), F.col("load").alias("load_no"), "column_name", "n_rows", "nulls", "n_distinct", "min_value", "max_value",
-        F.round("median", 3).alias("median"), F.round("null_share", 6).alias("null_share"), F.round("broken_share", 6).alias("broken_share"),
-        F.round("zero_share", 6).alias("zero_share"), F.round("entropy", 6).alias("entropy"),
-    )
+    return _shown(profile.load_profile(value_count_store(spark, sf).maintained()), "null_share", "broken_share", "zero_share")
 
 
 def p1_state(spark: SparkSession, sf: str) -> DataFrame:
     """The same figures of the tables as they are after all loads."""
-    counts = value_count_store(spark, sf).maintained()
-    return profile.state_profile(counts, _names("number"), profile.largest_bits(counts, _names("number"))).select(
-        F.col("scope").alias("table_name"), "column_name", "n_rows", "nulls", "n_distinct", "min_value", "max_value", F.round("median", 3).alias("median"), F.round("entropy", 6).alias("entropy")
+    return _shown(profile.state_profile(value_count_store(spark, sf, compact=False).table.read()))
+
+
+def p1_withdrawn(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after the newest load of each table was withdrawn again: a negative delta made from the stored counts."""
+    store = value_count_store(spark, sf, compact=False)
+    for name in _specs():
+        store.withdraw(name, [table(spark, sf, name).agg(F.max("load_no")).first()[0]])
+    return _shown(profile.state_profile(store.table.read()).filter("n_rows > 0"))
+
+
+def p1_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of columns that aren't whole numbers: doubles (with negative ones), decimals, dates and times."""
+    store = profile.ValueCountStore(spark, new_path(spark, "value-counts"))
+    lines = table(spark, sf, "lineitem").select(
+        F.lit(1).alias("load"), "l_discount", (F.col("l_extendedprice") - 30_000).alias("margin"), F.col("l_extendedprice").cast("decimal(12,2)").alias("price"), F.to_date("l_shipdate").alias("ship_day"), "l_shipdate"
     )
+    store.apply(lines, "lineitem", "load", [ColumnSpec(c, "number") for c in lines.columns if c != "load"])
+    return _shown(profile.load_profile(store.counts())).drop("load_no")
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     counts = value_count_store(spark, sf).maintained()
-    numbers = _names("number")
-    figures = materialise(profile.load_profile(counts, numbers, profile.largest_bits(counts, numbers)), "profiles")
-    return profile.departures(counts, figures, numbers, _names("category")).select(F.col("scope").alias("table_name"), F.col("load").alias("load_no"), "column_name")
+    figures = materialise(profile.load_profile(counts), "profiles")
+    return profile.departures(counts, figures, CATEGORIES).select(F.col("scope").alias("table_name"), F.col("load").alias("load_no"), "column_name")
 
 
 # -- 2: attributes as known at event time -----------------------------------------------------
@@ -278,5 +296,5 @@ def p7_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_profile, p1_state, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p6_runs, p7_found, p7_runs)
+    f.__name__: f for f in (p1_found, p1_profile, p1_state, p1_withdrawn, p1_prices, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p6_runs, p7_found, p7_runs)
 }

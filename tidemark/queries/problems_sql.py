@@ -20,7 +20,7 @@ WITH r AS (
   FROM stage_summary),
 m AS (SELECT t, load_no, x.c AS c, x.v AS v, x.num AS num, coalesce(x.bad, false) AND x.v IS NOT NULL AS bad FROM r),
 f AS (SELECT t, load_no, c, count(*) AS n, count(*) - count(v) AS nulls, count(v) AS k, count(DISTINCT v) AS d, count(*) FILTER (bad) AS b,
-        count(*) FILTER (num = 0) AS z, min(num) AS lo, max(num) AS hi, median(CASE WHEN num IS NOT NULL THEN greatest(num, 0) END) AS med FROM m GROUP BY ALL)
+        count(*) FILTER (num = 0) AS z, min(num) AS lo, max(num) AS hi, median(CASE WHEN num IS NOT NULL THEN greatest(num, 0) END) AS med, median(num) AS plain_med FROM m GROUP BY ALL)
 """
 _P1_FOUND = (
     _P1_ROWS
@@ -43,7 +43,7 @@ _P1_PROFILE = (
     _P1_ROWS
     + f""",
 e AS (SELECT t, load_no, c, sum(n * log2(n)) AS s FROM (SELECT t, load_no, c, v, count(*) AS n FROM m WHERE v IS NOT NULL GROUP BY ALL) GROUP BY ALL)
-SELECT t AS table_name, load_no, c AS column_name, n AS n_rows, nulls, d AS n_distinct, lo AS min_value, hi AS max_value, round(med, 3) AS median,
+SELECT t AS table_name, load_no, c AS column_name, n AS n_rows, nulls, d AS n_distinct, lo::DOUBLE AS min_value, hi::DOUBLE AS max_value, round(plain_med, 3) AS median,
   round(nulls / n, 6) AS null_share, round(b / nullif(k, 0), 6) AS broken_share, CASE WHEN {_NUM} THEN round(z / nullif(k, 0), 6) END AS zero_share,
   CASE WHEN k > 0 THEN round(log2(k) - s / k, 6) ELSE 0.0 END AS entropy
 FROM f LEFT JOIN e USING (t, load_no, c)
@@ -53,11 +53,19 @@ _P1_STATE = (
     _P1_ROWS
     + """,
 e AS (SELECT t, c, sum(n * log2(n)) AS s FROM (SELECT t, c, v, count(*) AS n FROM m WHERE v IS NOT NULL GROUP BY ALL) GROUP BY ALL),
-w AS (SELECT t, c, count(*) AS n, count(*) - count(v) AS nulls, count(v) AS k, count(DISTINCT v) AS d, min(num) AS lo, max(num) AS hi, median(CASE WHEN num IS NOT NULL THEN greatest(num, 0) END) AS med FROM m GROUP BY ALL)
-SELECT t AS table_name, c AS column_name, n AS n_rows, nulls, d AS n_distinct, lo AS min_value, hi AS max_value, round(med, 3) AS median,
+w AS (SELECT t, c, count(*) AS n, count(*) - count(v) AS nulls, count(v) AS k, count(DISTINCT v) AS d, min(num) AS lo, max(num) AS hi, median(num) AS med FROM m GROUP BY ALL)
+SELECT t AS table_name, c AS column_name, n AS n_rows, nulls, d AS n_distinct, lo::DOUBLE AS min_value, hi::DOUBLE AS max_value, round(med, 3) AS median,
   CASE WHEN k > 0 THEN round(log2(k) - s / k, 6) ELSE 0.0 END AS entropy FROM w LEFT JOIN e USING (t, c)
 """
 )
+_P1_WITHDRAWN = _P1_STATE.replace("coalesce(x.bad, false) AND x.v IS NOT NULL AS bad FROM r)", "coalesce(x.bad, false) AND x.v IS NOT NULL AS bad FROM r SEMI JOIN (SELECT t, load_no FROM r QUALIFY load_no < max(load_no) OVER (PARTITION BY t)) z ON z.t = r.t AND z.load_no = r.load_no)")
+_P1_PRICES = """
+WITH c AS (SELECT unnest([{'c': 'l_discount', 'v': l_discount}, {'c': 'margin', 'v': l_extendedprice - 30000}, {'c': 'price', 'v': l_extendedprice},
+    {'c': 'ship_day', 'v': CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE)}, {'c': 'l_shipdate', 'v': CAST(epoch_us(l_shipdate) AS DOUBLE)}]) AS x FROM lineitem),
+m AS (SELECT x.c AS c, x.v AS v FROM c), f AS (SELECT c, v, count(*) AS n FROM m GROUP BY ALL), e AS (SELECT c, sum(n * log2(n)) FILTER (v IS NOT NULL) AS s FROM f GROUP BY 1)
+SELECT 'lineitem' AS table_name, c AS column_name, count(*) AS n_rows, count(*) - count(v) AS nulls, count(DISTINCT v) AS n_distinct, min(v) AS min_value, max(v) AS max_value, round(median(v), 3) AS median,
+  round(log2(count(v)) - any_value(s) / count(v), 6) AS entropy FROM m JOIN e USING (c) GROUP BY c
+"""
 
 _P2 = r"""
 WITH e AS (
@@ -185,6 +193,6 @@ SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_
 """
 
 ORACLES = {
-    "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p2_found": _P2, "p2_as_known": _P2_AS_KNOWN, "p3_found": _P3, "p3_counts": _P3_COUNTS,
+    "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p1_withdrawn": _P1_WITHDRAWN, "p1_prices": _P1_PRICES, "p2_found": _P2, "p2_as_known": _P2_AS_KNOWN, "p3_found": _P3, "p3_counts": _P3_COUNTS,
     "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p6_history": _P6_HISTORY, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }
