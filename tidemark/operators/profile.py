@@ -13,7 +13,7 @@ column without non-null values has null range, median and shares and entropy 0;
 named in the specification are ignored, whatever their names.
 
 Scale: rows are folded map-side into value counts before the only shuffle, so a hot load or value costs no more
-than any other. Ranks are found by radix descent over 21-bit digits, so that no window holds over 2^22 rows.
+than any other. Ranks are found by radix descent over digits of at most 21 bits, so that no window holds over 2^22 rows.
 """
 
 from __future__ import annotations
@@ -148,10 +148,12 @@ def ranks(counts: DataFrame, keys: list[str], value: str, n: str, targets: DataF
     The value is found digit by digit from the top: each step sums the counts of one digit below the digits already
     known and picks the first whose running sum reaches the rank.
     """
-    state, top = targets.select(*keys, "rank", F.col("rank").alias("_left"), F.lit(0).cast("bigint").alias("_prefix")), DIGIT * ((max(bits, 1) - 1) // DIGIT)
-    for shift in range(top, -1, -DIGIT):
+    steps = max(1, -(-bits // DIGIT))
+    digit = max(1, -(-bits // steps))  # steps of even width, so that each leaves few values to the next
+    state, top = targets.select(*keys, "rank", F.col("rank").alias("_left"), F.lit(0).cast("bigint").alias("_prefix")), digit * (steps - 1)
+    for shift in range(top, -1, -digit):
         part = counts.select(*keys, F.shiftright(value, shift).alias("_digit"), F.col(n).alias("_n")).groupBy(*keys, "_digit").agg(F.sum("_n").alias("_n"))
-        above = F.lit(0).cast("bigint") if shift == top else F.shiftright("_digit", DIGIT)  # the top digit has the sign
+        above = F.lit(0).cast("bigint") if shift == top else F.shiftright("_digit", digit)  # the top digit has the sign
         hit = part.withColumn("_above", above).join(state.withColumnRenamed("_prefix", "_above"), [*keys, "_above"])
         w = Window.partitionBy(*keys, "rank").orderBy("_digit")
         state = (
