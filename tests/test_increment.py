@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators.increment import PART, IncrementalResult, first_of_repeats, first_run_after
+from tidemark.operators.increment import PART, IncrementalResult, first_of_repeats, first_run_after, run_watermarks
+from tidemark.storage.table import CommitConflict
 
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -64,3 +65,44 @@ def test_first_run_after(spark):
         spark.createDataFrame(data, "row long, o long, at timestamp"), spark.createDataFrame(runs, "run long, o long, st timestamp"), obj="o", arrived="at", started="st", run="run"
     ).select("row", "run")
     assert rows(got) == [(1, 10), (2, 10), (3, 12), (6, 10), (8, 12)]
+
+
+def test_second_writer_touches_nothing(spark, tmp_path):
+    """A run that finds another at work stops before it has replaced a row; a dead run's own retry goes on."""
+    root, data = f"file://{tmp_path}/r", frame(spark, [(1, "a", "x", None, 1)])
+    other = frame(spark, [(9, "a", "z", None, 1)])
+    a, b = IncrementalResult(spark, root, owner="a"), IncrementalResult(spark, root, owner="b")
+
+    def slow(df):
+        with pytest.raises(CommitConflict, match="a is writing"):
+            b.run(other, F.col("p"), compute)
+        return compute(df)
+
+    a.run(data, F.col("p"), slow)
+    assert rows(a.read()) == [(1, "x")]
+    with pytest.raises(OSError):
+        a.run(other, F.col("p"), lambda df: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(CommitConflict):
+        b.run(other, F.col("p"), compute)
+    assert IncrementalResult(spark, root, owner="a").run(other, F.col("p"), compute)["changed"] == 1
+    assert rows(b.read()) == [(9, "z")] and b.run(other, F.col("p"), compute)["changed"] == 0
+
+
+def test_watermarks_against_brute_force(spark):
+    import random
+
+    r = random.Random(5)
+    minute = lambda n: T0 + timedelta(minutes=n)
+    data = [(i, r.choice([1, 1, 1, 2]), minute(r.randrange(300)), r.choice([None, r.randrange(300)])) for i in range(500)]
+    runs = [(100 + i, o, minute(m), 25 if o == 1 else None) for i, (o, m) in enumerate((o, m) for o in (1, 2) for m in sorted(r.sample(range(280), 20)))]
+    got = run_watermarks(spark.createDataFrame(data, "row long, o long, at timestamp, v long"), spark.createDataFrame(runs, "run long, o long, st timestamp, g long"), obj="o", arrived="at", started="st", run="run", value="v", grace="g")
+    want = []
+    for o in (1, 2):
+        mark, earlier = None, []
+        for run, _, st, g in (x for x in runs if x[1] == o):
+            new = [d for d in data if d[1] == o and d[2] <= st and d not in earlier]
+            again = 0 if mark is None else sum(d[3] is not None and d[3] > mark - (g or 0) for d in earlier)
+            to = max([d[3] for d in new if d[3] is not None] + ([mark] if mark is not None else []), default=None)
+            want.append((o, run, mark, to, len(new), again))
+            mark, earlier = to, earlier + new
+    assert rows(got) == sorted(want, key=repr)

@@ -156,7 +156,7 @@ def p3_counts(spark: SparkSession, sf: str) -> DataFrame:
     cases = p3_found(spark, sf).groupBy("source_object_id", "snapshot_no").agg(*(F.count_if(F.col("change_type") == c).alias(f"n_{c}") for c in ("added", "removed", "changed")))
     s = _snapshots(spark, sf)
     order = snapdiff.ordered_snapshots(s["rows"], s["obj"], s["number"], s["taken_at"]).filter("rank > 1")
-    held = s["rows"].groupBy("source_object_id", "snapshot_no").agg(F.countDistinct("customer_id").alias("n"))
+    held = s["rows"].groupBy("source_object_id", "snapshot_no").agg(F.countDistinct(F.struct("customer_id")).alias("n"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return order.join(held, ["source_object_id", "snapshot_no"]).join(cases, ["source_object_id", "snapshot_no"], "left").select(
         "source_object_id", "snapshot_no", zero("n_added"), zero("n_removed"), zero("n_changed"), (F.col("n") - F.coalesce("n_added", F.lit(0)) - F.coalesce("n_changed", F.lit(0))).alias("n_unchanged")
