@@ -37,6 +37,12 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.report(mixing.mix(counted, targets, key="doc_id", source="source"), counted, targets, "source")
 
 
+def p9_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest mix in which the sources that have documents stand exactly in proportion to their targets: smaller than the corpus where a source is scarce."""
+    counted, targets = token_counts(spark, sf), table(spark, sf, "mix_targets")
+    return mixing.report(mixing.mix(counted, targets, key="doc_id", source="source", fill=False), counted, targets, "source")
+
+
 def p10_measures(spark: SparkSession, sf: str) -> DataFrame:
     """What each document was judged by."""
     return stuffing.judged(table(spark, sf, "documents"), key="doc_id", text="text", lang="lang")
@@ -46,7 +52,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return stuffing.judged(table(spark, sf, "documents"), key="doc_id", text="text", lang="lang").filter("stuffed").select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p10_found, p10_measures)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p9_exact, p10_found, p10_measures)}
 
 #: None of these can be put in SQL.
 ORACLES: dict[str, str] = {}
