@@ -85,6 +85,59 @@ def test_no_rename_without_common_records_or_with_one_difference(spark):
     assert rows(run(spark, s, differ)[2].select("change_type")) == [("added",), ("removed",)]
 
 
+def test_nulls_alone_are_no_evidence(spark):
+    s = [(1, 1, fields(record_key="string", a="string")), (1, 2, fields(record_key="string", b="string"))]
+    d = [line(1, 1, record_key="x", a=None), line(1, 2, record_key="x")]
+    assert rows(run(spark, s, d)[2].select("change_type")) == [("added",), ("removed",)]
+
+
+def test_least_cost_over_all_pairs():
+    swap = edits(fields(a="int32", b="string"), fields(a="string", b="int32"), [("a", "b"), ("b", "a")])
+    assert swap == (0.8, [("renamed", "a"), ("renamed", "b")])
+    assert edits(fields(a="int32", b="string"), fields(a="string", b="int32")) == (1.0, [("retyped", "a"), ("retyped", "b")])
+    assert edits(fields(a="int32"), fields(b="int64"), [("a", "b")]) == (0.9, [("renamed", "b")])
+
+
+def test_costs_against_all_matchings():
+    """The script's cost is the least over every way to match the fields of two flat schemas."""
+    r = random.Random(11)
+    for _ in range(60):
+        old, new = ({n: r.choice(["s", "i"]) for n in r.sample("abcd", r.randrange(5))} for _ in range(2))
+        equal = {(a, b) for a in old for b in new if r.random() < 0.4}
+        price = lambda a, b: 1e9 if a != b and (a, b) not in equal else (a != b) * 0.4 + (old[a] != new[b]) * 0.5  # noqa: B023, E731
+        best, size = 1e9, min(len(old), len(new))
+        for k in range(size + 1):
+            for xs in itertools.combinations(old, k):
+                for ys in itertools.permutations(new, k):
+                    best = min(best, sum(map(price, xs, ys)) + len(old) + len(new) - 2 * k)
+        assert abs(edits(fields(**old), fields(**new), equal)[0] - best) < 1e-9
+
+
+def nested(**inner):
+    return json.dumps([{"name": "record_key", "type": "string"}, {"name": "home", "type": {"type": "struct", "fields": [{"name": n, "type": t} for n, t in inner.items()]}}])
+
+
+def test_nested_renames_reach_the_projections(spark):
+    s = [(1, 1, nested(zip="string", old="int32")), (1, 2, nested(postcode="string", floor="int32"))]
+    d = [line(1, 1, record_key="x", home={"zip": "07", "old": 3}), line(1, 2, record_key="x", home={"postcode": "07", "floor": 9}), line(1, 1, record_key="y", home={"zip": None}), line(1, 2, record_key="y", home=None)]
+    pairs, read, found = run(spark, s, d)
+    assert rows(found.select("change_type", "column_name")) == [("added", "home.floor"), ("removed", "home.old"), ("renamed", "home.postcode")]
+    out = schemadrift.unified(read, schemadrift.projections(pairs, found))
+    got = rows(out.select("version", "record_key", F.col("fields")["home.postcode"], F.col("fields")["home.old"], F.col("fields")["home.floor"]))
+    assert got == [(1, "x", "07", "3", None), (1, "y", None, None, None), (2, "x", "07", None, "9"), (2, "y", None, None, None)]
+
+
+def test_moves_reach_the_projections(spark):
+    struct = lambda name, *inner: {"name": name, "type": {"type": "struct", "fields": [{"name": n, "type": "string"} for n in inner]}}
+    key = {"name": "record_key", "type": "string"}
+    s = [(1, 1, json.dumps([key, struct("home", "zip", "city"), struct("work", "street")])), (1, 2, json.dumps([key, struct("home", "city"), struct("work", "street", "zip")]))]
+    d = [line(1, 1, record_key="x", home={"zip": "07", "city": "c"}, work={"street": "s"}), line(1, 2, record_key="x", home={"city": "c"}, work={"street": "s", "zip": "08"})]
+    pairs, read, found = run(spark, s, d)
+    assert rows(found.select("change_type", "column_name")) == [("moved", "work.zip")]
+    out = schemadrift.unified(read, schemadrift.projections(pairs, found))
+    assert rows(out.select("version", F.col("fields")["work.zip"])) == [(1, "07"), (2, "08")]
+
+
 def test_reused_name_is_kept_apart(spark):
     s = [(1, 1, fields(record_key="string", a="string", c="string")), (1, 2, fields(record_key="string", c="string", a="string", d="int32")), (1, 3, fields(record_key="string", c2="string", a="string"))]
     d = [line(1, 1, record_key="x", a="p", c="q"), line(1, 2, record_key="x", a="p", c="q", d=1), line(1, 3, record_key="x", a="p", c2="q")]

@@ -1,9 +1,9 @@
 """Edit distance between nested schemas, and the scripts it yields.
 
 A schema is a tree of named, typed fields whose order means nothing. The distance between two trees is the least cost of
-deletions, insertions, renames, retypings and moves that turn one into the other. Children of matched nodes are matched by minimum-cost assignment, so
+deletions, insertions, renames, retypings and moves that turn one into the other. All children of matched nodes are matched with each other by minimum-cost assignment, so
 a script is optimal among those that keep parents matched to parents; a deleted subtree that comes back unchanged under another
-parent is then a move. Renaming needs evidence: a pair of paths whose values are known to be equal.
+parent is then a move. Fields of one name may be matched whatever their values, fields of two names only with evidence: a pair of paths whose values are known to be equal. A renaming may retype as well, and costs both.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 DELETE = INSERT = MOVE = 1.0
-RENAME = RETYPE = 0.5
+RENAME, RETYPE = 0.4, 0.5
 NEVER = 1e9
 
 
@@ -105,55 +105,74 @@ def _path(base: str, name: str) -> str:
     return f"{base}.{name}" if base else name
 
 
+def _cost(a: Node, b: Node, at_old: str, at_new: str, equal: frozenset[tuple[str, str]]) -> float:
+    """What matching two fields costs, with all below them; NEVER where they may not be matched."""
+    if a.name != b.name and (_path(at_old, a.name), _path(at_new, b.name)) not in equal:
+        return NEVER
+    below = _match(a, b, _path(at_old, a.name), _path(at_new, b.name), equal)[0] if a.children or b.children else 0.0
+    return (a.name != b.name) * RENAME + (a.type != b.type) * RETYPE + below
+
+
 def _match(old: Node, new: Node, at_old: str, at_new: str, equal: frozenset[tuple[str, str]]) -> tuple[float, list[Edit]]:
-    gone = [c for c in old.children if c.name not in {x.name for x in new.children}]
-    fresh = [c for c in new.children if c.name not in {x.name for x in old.children}]
-    by_name = {c.name: c for c in new.children}
-    total, edits = 0.0, []
-    for c in old.children:
-        if c.name in by_name:
-            total, edits = _pair(c, by_name[c.name], at_old, at_new, equal, total, edits, renamed=False)
+    """Least cost and edits of the children of two matched nodes."""
+    news = {c.name: c for c in new.children}
+    # fields that are alike on both sides, and in no evidence, can only be matched with themselves
+    told = {x for pair in equal for x in pair}
+    settled = {c.name for c in old.children if news.get(c.name) == c and not {_path(at_old, c.name), _path(at_new, c.name)} & told}
+    gone, fresh = [c for c in old.children if c.name not in settled], [c for c in new.children if c.name not in settled]
+    n, total, edits = len(gone) + len(fresh), 0.0, []
+    pairs = []
     if gone and fresh:
-        n = len(gone) + len(fresh)
+        # a name likeness far under any cost decides between matches of one cost
+        near = lambda a, b: (1 - SequenceMatcher(None, a.name, b.name).ratio()) * 1e-6
         matrix = [[0.0] * n for _ in range(n)]
         for i in range(n):
             for j in range(n):
                 if i < len(gone) and j < len(fresh):
-                    a, b = gone[i], fresh[j]
-                    if (_path(at_old, a.name), _path(at_new, b.name)) in equal:
-                        likeness = SequenceMatcher(None, a.name, b.name).ratio()
-                        matrix[i][j] = RENAME + (a.type != b.type) * 0.25 + (1 - likeness) * 1e-3
-                    else:
-                        matrix[i][j] = NEVER
+                    cost = _cost(gone[i], fresh[j], at_old, at_new, equal)
+                    matrix[i][j] = cost + near(gone[i], fresh[j]) if cost < NEVER else NEVER
                 elif i < len(gone):
                     matrix[i][j] = DELETE * gone[i].size
                 elif j < len(fresh):
                     matrix[i][j] = INSERT * fresh[j].size
         chosen = assign(matrix)
         pairs = [(gone[i], fresh[chosen[i]]) for i in range(len(gone)) if chosen[i] < len(fresh) and matrix[i][chosen[i]] < NEVER]
-        for a, b in pairs:
-            total, edits = _pair(a, b, at_old, at_new, equal, total, edits, renamed=True)
-        gone = [c for c in gone if all(c is not a for a, _ in pairs)]
-        fresh = [c for c in fresh if all(c is not b for _, b in pairs)]
+    for a, b in sorted(pairs, key=lambda p: p[0].name):
+        before, after = _path(at_old, a.name), _path(at_new, b.name)
+        total += (a.name != b.name) * RENAME + (a.type != b.type) * RETYPE
+        if a.name != b.name or a.type != b.type:
+            edits.append(Edit("renamed" if a.name != b.name else "retyped", after, before, a.type, b.type))
+        cost, inner = _match(a, b, before, after, equal)
+        total, edits = total + cost, [*edits, *inner]
     for c in gone:
-        total += DELETE * c.size
-        edits.append(Edit("removed", _path(at_old, c.name), _path(at_old, c.name), c.type, None))
+        if all(c is not a for a, _ in pairs):
+            total += DELETE * c.size
+            edits.append(Edit("removed", _path(at_old, c.name), _path(at_old, c.name), c.type, None))
     for c in fresh:
-        total += INSERT * c.size
-        edits.append(Edit("added", _path(at_new, c.name), None, None, c.type))
+        if all(c is not b for _, b in pairs):
+            total += INSERT * c.size
+            edits.append(Edit("added", _path(at_new, c.name), None, None, c.type))
     return total, edits
 
 
-def _pair(a: Node, b: Node, at_old: str, at_new: str, equal, total: float, edits: list[Edit], renamed: bool) -> tuple[float, list[Edit]]:
-    old, new = _path(at_old, a.name), _path(at_new, b.name)
-    if renamed:
-        total += RENAME
-        edits = [*edits, Edit("renamed", new, old, a.type, b.type)]
-    elif a.type != b.type:
-        total += RETYPE
-        edits = [*edits, Edit("retyped", new, old, a.type, b.type)]
-    cost, inner = _match(a, b, old, new, equal)
-    return total + cost, [*edits, *inner]
+def leaves(node: Node, at: str = "") -> dict[str, str]:
+    """The paths that hold values, with their types: fields without children, and arrays as wholes."""
+    out: dict[str, str] = {}
+    for c in node.children:
+        path = _path(at, c.name)
+        out |= leaves(c, path) if c.children and c.type == "struct" else {path: c.type}
+    return out
+
+
+def renamings(old: Node, new: Node) -> tuple[list[str], list[str]]:
+    """Paths that are only in the old, and only in the new tree, below parents that both have."""
+    a, b = {c.name: c for c in old.children}, {c.name: c for c in new.children}
+    gone, fresh = sorted(a.keys() - b.keys()), sorted(b.keys() - a.keys())
+    for name in sorted(a.keys() & b.keys()):
+        if a[name].type == b[name].type == "struct":
+            inner = renamings(a[name], b[name])
+            gone, fresh = gone + [_path(name, x) for x in inner[0]], fresh + [_path(name, x) for x in inner[1]]
+    return gone, fresh
 
 
 def _find(root: Node | None, path: str) -> Node | None:
