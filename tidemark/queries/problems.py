@@ -217,6 +217,13 @@ def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("object").alias("source_object_id"), "version", "record_key", F.to_json("fields").alias("fields"))
 
 
+def p4_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The same records value by value."""
+    pairs, read, edits = _drift(spark, sf)
+    out = schemadrift.unified(read, schemadrift.projections(pairs, edits))
+    return out.select(F.col("object").alias("source_object_id"), "version", "record_key", F.explode("fields").alias("column_name", "value"))
+
+
 # -- 5: change feed ---------------------------------------------------------------------------
 
 
@@ -296,5 +303,5 @@ def p7_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_profile, p1_state, p1_withdrawn, p1_prices, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p5_found, p5_buckets, p5_current, p6_found, p6_history, p6_runs, p7_found, p7_runs)
+    f.__name__: f for f in (p1_found, p1_profile, p1_state, p1_withdrawn, p1_prices, p2_found, p2_as_known, p2_cells, p3_found, p3_counts, p4_found, p4_unified, p4_values, p5_found, p5_buckets, p5_current, p6_found, p6_history, p6_runs, p7_found, p7_runs)
 }

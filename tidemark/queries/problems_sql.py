@@ -128,7 +128,7 @@ FROM v6 JOIN snt a ON a.source_object_id = v6.source_object_id AND a.rk = v6.rk
 LEFT JOIN raw ON raw.source_object_id = v6.source_object_id AND raw.customer_id IS NOT DISTINCT FROM v6.customer_id AND raw.rk = v6.shown"""
 )
 
-_P4 = """
+_P4_EVIDENCE = """
 WITH sv AS (SELECT source_object_id AS o, version AS v, arg_max(schema_json, {'c': captured_at, 'j': schema_json}) AS j FROM schema_version WHERE schema_json IS NOT NULL GROUP BY ALL),
 f AS (SELECT o, v, x->>'name' AS n, x->>'type' AS t FROM (SELECT o, v, unnest(CAST(CAST(j AS JSON) AS JSON[])) AS x FROM sv)),
 p AS (SELECT o, v, lag(v) OVER (PARTITION BY o ORDER BY v) AS p FROM sv QUALIFY p IS NOT NULL),
@@ -140,12 +140,29 @@ rec AS (SELECT source_object_id AS o, version AS v, CAST(payload AS JSON)->>'rec
 c AS (SELECT g.o, g.v, g.p, g.n AS gn, n.n AS nn FROM gone g JOIN fresh n USING (o, v)),
 ev AS (SELECT c.o, c.v, gn, nn FROM c JOIN rec x ON x.o = c.o AND x.v = c.p JOIN rec y ON y.o = c.o AND y.v = c.v AND y.k = x.k
   GROUP BY ALL HAVING bool_and(json_extract_string(x.r, '$."' || gn || '"') IS NOT DISTINCT FROM json_extract_string(y.r, '$."' || nn || '"')))
-SELECT DISTINCT o AS source_object_id, v AS version, change_type, column_name FROM (
+"""
+_P4 = (
+    _P4_EVIDENCE
+    + """SELECT DISTINCT o AS source_object_id, v AS version, change_type, column_name FROM (
   SELECT o, v, 'retyped' AS change_type, n AS column_name FROM a JOIN b USING (o, v, n) WHERE a.t <> b.t
   UNION ALL SELECT o, v, 'renamed', nn FROM ev
   UNION ALL SELECT o, v, 'removed', n FROM gone WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.o = gone.o AND ev.v = gone.v AND ev.gn = gone.n)
   UNION ALL SELECT o, v, 'added', n FROM fresh WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.o = fresh.o AND ev.v = fresh.v AND ev.nn = fresh.n))
 """
+)
+_P4_VALUES = (
+    _P4_EVIDENCE.replace("WITH sv", "WITH RECURSIVE sv")
+    + """, walk(o, v0, f0, v, n) AS (SELECT o, v, n, v, n FROM f UNION ALL
+  SELECT w.o, w.v0, w.f0, p.v, coalesce(ev.nn, w.n) FROM walk w JOIN p ON p.o = w.o AND p.p = w.v LEFT JOIN ev ON ev.o = p.o AND ev.v = p.v AND ev.gn = w.n JOIN f ON f.o = p.o AND f.v = p.v AND f.n = coalesce(ev.nn, w.n)),
+term AS (SELECT o, v0, f0, max(v) AS v, arg_max(n, v) AS n FROM walk GROUP BY ALL),
+names AS (SELECT t.o, t.v0 AS v, t.f0 AS n, CASE WHEN u.n IS NULL THEN t.n ELSE t.n || '__v' || t.v END AS c FROM term t LEFT JOIN p ON p.o = t.o AND p.p = t.v LEFT JOIN (SELECT DISTINCT o, v0, n FROM term) u ON u.o = p.o AND u.v0 = p.v AND u.n = t.n),
+line AS (SELECT row_number() OVER () AS i, source_object_id AS o, version AS v, CAST(payload AS JSON)->>'record_key' AS k, CAST(payload AS JSON) AS r FROM landed_rows WHERE CASE WHEN json_valid(payload) THEN CAST(payload AS JSON)->>'record_key' END IS NOT NULL),
+e AS (SELECT i, o, v, k, unnest(json_keys(r)) AS n, r FROM line),
+x AS (SELECT i, e.o, e.v, e.k, coalesce(names.c, CASE WHEN e.n IN (SELECT c FROM names z WHERE z.o = e.o AND z.v = e.v) THEN e.n || '__raw' ELSE e.n END) AS c, json_extract_string(r, '$."' || e.n || '"') AS val FROM e LEFT JOIN names ON names.o = e.o AND names.v = e.v AND names.n = e.n),
+once AS (SELECT DISTINCT o, v, k, l FROM (SELECT i, o, v, k, list({'c': c, 'val': val} ORDER BY c) FILTER (val IS NOT NULL) AS l FROM x GROUP BY ALL))
+SELECT o AS source_object_id, v AS version, k AS record_key, y.c AS column_name, y.val AS value FROM (SELECT o, v, k, unnest(l) AS y FROM once)
+"""
+)
 
 _P5_BASE = r"""
 WITH c AS (
@@ -194,5 +211,5 @@ SELECT k.o AS source_object_id, k.run_no, wf AS watermark_from, wt AS watermark_
 
 ORACLES = {
     "p1_found": _P1_FOUND, "p1_profile": _P1_PROFILE, "p1_state": _P1_STATE, "p1_withdrawn": _P1_WITHDRAWN, "p1_prices": _P1_PRICES, "p2_found": _P2, "p2_as_known": _P2_AS_KNOWN, "p3_found": _P3, "p3_counts": _P3_COUNTS,
-    "p4_found": _P4, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p6_history": _P6_HISTORY, "p7_found": _P7, "p7_runs": _P7_RUNS,
+    "p4_found": _P4, "p4_values": _P4_VALUES, "p5_found": _P5, "p5_buckets": _P5_BUCKETS, "p5_current": _P5_CURRENT, "p6_found": _P6, "p6_history": _P6_HISTORY, "p7_found": _P7, "p7_runs": _P7_RUNS,
 }
