@@ -205,6 +205,7 @@ def test_cdc_batches_write_only_touched_buckets(spark, lake, monkeypatch):
         assert (load([(5, "b", 2), (5, "c", 3)]).updated, load([]).rows_written) == (1, 0)
     m = lake.table(obj.target_path).manifest()
     assert m.metrics["touched"] == 1 and m.metrics["kept"] == 9 and len({f.path for f in m.files} & first) == len(first) - 1
+    assert lake.table(obj.target_path).read(0).count() == 100
     assert rows(lake.table(obj.target_path).read().groupBy("city").count()) == [("a", 99), ("c", 1)]
     with pytest.raises(LayoutError):
         KeyedTable(lake.table(obj.target_path), ["city"]).merge(None, lambda d: (d, None), m.struct, "x")
@@ -321,6 +322,18 @@ def test_streams_into_one_table_have_their_own_numbers(spark, tmp_path):
     assert table.read().count() == 20 and table.version() == 1
 
 
+def test_intermediate_folders_go(spark):
+    from tidemark import runtime
+    from tidemark.storage.fs import Files
+
+    df = runtime.materialise(spark.range(5), "some")
+    folder = runtime.work_dir(spark)
+    assert df.count() == 5 and Files(spark, folder).walk(folder)
+    runtime.clean(spark)
+    assert not Files(spark, folder).exists(folder)
+    assert runtime.materialise(spark.range(5), "some").count() == 5
+
+
 def test_shared_folder(spark, monkeypatch):
     from tidemark import runtime
 

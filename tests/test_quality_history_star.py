@@ -30,6 +30,17 @@ def test_rules(scores):
     assert report.accepted.columns == scores.columns
 
 
+def test_unique_counts_no_nulls_and_splits_hot_values(spark):
+    """A column that is null or one value in most rows: nulls break nothing, every row of the value does."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("v"), F.lit(1).alias("__value"))
+    report = quality.evaluate(df, [Rule(1, "unique", "quarantine", "v"), Rule(2, "unique", "warn", "id"), rule(3, "row_count", "warn", None, minimum=1, maximum=None)])
+    hot = df.filter("v = -1").count()
+    assert [r.failed_rows for r in report.results] == [hot, 0, 0] and report.rejected.count() == hot and report.accepted.filter("v is null").count() == 10_000
+    assert report.accepted.columns == df.columns
+    plan = quality.flagged(df, [Rule(1, "unique", "warn", "v")])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_freshness(spark):
     now = datetime(2024, 1, 2, tzinfo=UTC).timestamp()
     df = spark.createDataFrame([(datetime(2024, 1, 1, 23), 0), (None, None)], "t timestamp, n long")
@@ -106,3 +117,10 @@ def test_as_of_fact(spark):
     by = {r.valid_from.astimezone(UTC).day: r[-1] for r in star.keyed(v.filter("id = 'c1'"), ["id"], True).collect()}
     # a deletion doesn't end the version before it
     assert keys == {1: 0, 2: by[3], 3: by[3], 4: by[9], 5: 0, 6: by[9], 7: 0}
+
+
+def test_two_members_of_one_key_are_refused(spark):
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "d_key long, n string")
+    with pytest.raises(star.KeyCollision, match="d_key 1"):
+        star.check_keys(dim, "d_key")
+    star.check_keys(dim.filter("n <> 'b'"), "d_key")

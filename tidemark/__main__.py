@@ -7,7 +7,7 @@ import sys
 from datetime import UTC, datetime
 
 from tidemark.control import contracts
-from tidemark.control.store import ControlStore, ddl
+from tidemark.control.store import DIALECTS, ControlStore, ddl
 from tidemark.operators.privacy import scan
 from tidemark.plans import audit, replay, runner
 from tidemark.plans.bronze import Lake
@@ -29,11 +29,11 @@ def parser() -> argparse.ArgumentParser:
         "pipeline": [("--source", {"required": True}), ("--register", {"action": "store_true"}), ("--object", {"action": "append"}), ("--run-id", {}), ("--stop-on-error", {"action": "store_true"})],
         "seed": [("root", {}), ("--rows", {"type": int, "default": 10_000}), ("--seed", {"type": int, "default": 42})],
         "privacy": [("--source", {"required": True}), ("--apply", {"action": "store_true"})],
-        "audit": [("--close-abandoned", {"action": "store_true"})],
+        "audit": [("--close-abandoned", {"action": "store_true"}), ("--html", {"action": "store_true"})],
         "maintenance": [("action", {"choices": ["stats", "compact", "zorder", "vacuum"]}), ("table", {}), ("--columns", {"default": ""}), ("--run", {"action": "store_true"}), ("--hours", {"type": float, "default": maintenance.RETENTION_HOURS})],
         "replay": [("action", {"choices": ["history", "restore", "rewind"]}), ("target", {}), ("--at", {}), ("--run", {"action": "store_true"})],
         "contracts": [("path", {}), ("--sync", {"action": "store_true"})],
-        "migrate": [("--check", {"action": "store_true"}), ("--ddl", {"action": "store_true"})],
+        "migrate": [("--check", {"action": "store_true"}), ("--ddl", {"nargs": "?", "const": "sqlite", "choices": list(DIALECTS)})],
     }.items():
         cmd = sub.add_parser(name)
         for flag, options in args:
@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     configure_logging(settings.log_level)
     store = ControlStore(settings.control_path)
     if a.command == "migrate":
-        print(ddl() if a.ddl else f"versions {'missing' if a.check else 'applied'}: {store.migrate(a.check)}")
+        print(ddl(a.ddl) if a.ddl else f"versions {'missing' if a.check else 'applied'}: {store.migrate(a.check)}")
         return int(a.check and bool(store.migrate(check=True)))
     store.migrate()
     if a.command == "contracts":
@@ -76,7 +76,8 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "audit":
         if a.close_abandoned:
             print(audit.close_abandoned(spark, store, dry_run=False))
-        print(audit.report(audit.Audit(audit.frames(spark, store)), datetime.now(UTC)))
+        views = audit.Audit(audit.frames(spark, store))
+        print((audit.html_report if a.html else audit.report)(views, datetime.now(UTC)))
     elif a.command == "maintenance":
         t = VersionedTable(spark, f"{settings.lake_root}/{a.table}")
         actions = {"stats": lambda: maintenance.file_stats(t), "compact": lambda: maintenance.compact(t), "zorder": lambda: maintenance.zorder(t, a.columns.split(",")), "vacuum": lambda: maintenance.vacuum(t, a.hours, dry_run=not a.run)}

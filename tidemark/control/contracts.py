@@ -52,9 +52,9 @@ class Expectation:
     def __post_init__(self):
         _severity(self.severity, "expect")
         if not self.unique and all(v is None for v in (self.allowed_values, self.minimum, self.maximum, self.pattern)):
-            raise ContractError("an expectation must state a check")
+            raise ContractError("nothing is expected: give unique, allowed_values, minimum, maximum or pattern")
         if self.minimum is not None and self.maximum is not None and self.minimum > self.maximum:
-            raise ContractError(f"minimum {self.minimum} is above maximum {self.maximum}")
+            raise ContractError(f"no value can be between {self.minimum} and {self.maximum}")
 
     def rules(self, column: str) -> list[dict]:
         out = [("unique", {})] if self.unique else []
@@ -124,11 +124,11 @@ class Contract:
 
 
 def load(path: str | Path) -> list[Contract]:
-    """One file, or all of a folder in the order of their names; errors name the file."""
+    """One file, or all of a folder and the folders in it in the order of their paths; errors name the file."""
     path = Path(path)
     found: dict[tuple[str, str], Path] = {}
     out = []
-    for f in sorted([*path.glob("*.yml"), *path.glob("*.yaml")]) if path.is_dir() else [path]:
+    for f in sorted([*path.rglob("*.yml"), *path.rglob("*.yaml")]) if path.is_dir() else [path]:
         try:
             c = _strict(Contract, yaml.safe_load(f.read_text()), "contract")
         except (ContractError, yaml.YAMLError) as e:

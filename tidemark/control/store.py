@@ -67,8 +67,33 @@ TABLES: dict[str, list[str]] = {
 }
 
 
-def ddl() -> str:
-    return "\n".join(f"CREATE TABLE {name} (\n  " + ",\n  ".join(columns) + "\n);" for name, columns in TABLES.items())
+#: What each database calls the types above; keys and looked-up texts need a length in SQL Server.
+DIALECTS = {
+    "sqlite": {},
+    "postgres": {"INTEGER PRIMARY KEY": "BIGINT GENERATED BY DEFAULT AS IDENTITY PRIMARY KEY", "INTEGER": "BIGINT", "REAL": "DOUBLE PRECISION", "DEFAULT CURRENT_TIMESTAMP": "DEFAULT (CURRENT_TIMESTAMP::TEXT)"},
+    "mssql": {"INTEGER PRIMARY KEY": "BIGINT IDENTITY(1,1) PRIMARY KEY", "INTEGER": "BIGINT", "REAL": "FLOAT", "TEXT": "NVARCHAR(400)", "DEFAULT CURRENT_TIMESTAMP": "DEFAULT (CONVERT(NVARCHAR(40), SYSUTCDATETIME(), 126))"},
+}
+_LONG = ("schema_json", "expression", "error_message", "detail", "business_description")
+
+
+def _column(text: str, dialect: str) -> str:
+    name = text.split()[0]
+    if name in ("UNIQUE", "CHECK"):
+        return text
+    if "INTEGER PRIMARY KEY" in text and name != "id":  # a key that is another table's
+        text = text.replace("INTEGER PRIMARY KEY", "INTEGER NOT NULL UNIQUE")
+    for a, b in DIALECTS[dialect].items():
+        text = text.replace(a, b, 1) if a in text and not (a == "INTEGER" and "BIGINT" in text) else text
+    if dialect == "mssql":
+        text = text.replace("NVARCHAR(400)", "NVARCHAR(MAX)") if name in _LONG else text
+        # it refuses several paths of cascades to one table
+        text = text.replace(" ON DELETE CASCADE", "") if name in ("dimension_object_id", "depends_on_id", "dq_rule_id") else text
+    return text
+
+
+def ddl(dialect: str = "sqlite") -> str:
+    """The control tables for SQLite, Postgres or SQL Server."""
+    return "\n".join(f"CREATE TABLE {name} (\n  " + ",\n  ".join(c if dialect == "sqlite" else _column(c, dialect) for c in columns) + "\n);" for name, columns in TABLES.items())
 
 
 #: Scripts by the version they lead to. A store without a version but with tables is taken as version 1.

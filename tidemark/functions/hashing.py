@@ -34,8 +34,10 @@ def row_hash(df: DataFrame, names: list[str]) -> Column:
 
 
 def surrogate_key(df: DataFrame, names: list[str]) -> Column:
-    """A positive 60-bit key of the values; 0 is left to the unknown member."""
-    return (F.conv(F.substring(F.sha2(joined(df, names), 256), 1, 15), 16, 10).cast("bigint") + 1).cast("bigint")
+    """A positive 63-bit key of the values, the first bits of their SHA-256; 0 is left to the unknown member."""
+    digest = F.sha2(joined(df, names), 256)
+    part = lambda start, n: F.conv(F.substring(digest, start, n), 16, 10).cast("bigint")
+    return F.greatest(F.shiftleft(part(1, 15), 3) + F.shiftright(part(16, 1), 1), F.lit(1).cast("bigint"))
 
 
 def hmac_sha256(c: Column, key: bytes) -> Column:

@@ -22,23 +22,23 @@ HASH_DIGITS, KEPT_DIGITS = 32, 4
 
 #: What a column's name says, first match wins: (pattern, sensitivity, masking, label).
 NAME_RULES = (
-    (r"(ssn|social_security|passport|national_id|tax_id|cpf|cnpj|aadhaar|pan_number)", "sensitive_pii", "hash", "a government identifier"),
-    (r"(date_of_birth|birth_date|dob)", "sensitive_pii", "redact", "a date of birth"),
-    (r"(document|identity)", "sensitive_pii", "hash", "an identity document"),
-    (r"(email|e_mail)", "pii", "hash", "an email address"),
-    (r"(phone|mobile|msisdn|telephone)", "pii", "partial", "a phone number"),
-    (r"(full_name|first_name|last_name|surname|_name$|^name$)", "pii", "hash", "a person name"),
-    (r"(street|address_line|addr_line|house_no)", "pii", "hash", "a street address"),
-    (r"(latitude|longitude|geo_lat|geo_lon)", "pii", "redact", "a precise location"),
-    (r"(ip_address|device_id|user_agent)", "pii", "hash", "a device identifier"),
-    (r"(zip|postcode|postal_code)", "internal", "none", "a postal area"),
-    (r"(city|state|province|region|country)", "internal", "none", "coarse geography"),
+    (r"(ssn|social_security|passport|national_id|tax_id|cpf|cnpj|aadhaar|pan_number)", "sensitive_pii", "hash", "a number given by the state"),
+    (r"(date_of_birth|birth_date|dob)", "sensitive_pii", "redact", "when somebody was born"),
+    (r"(document|identity)", "sensitive_pii", "hash", "papers that identify somebody"),
+    (r"(email|e_mail)", "pii", "hash", "an address for mail"),
+    (r"(phone|mobile|msisdn|telephone)", "pii", "partial", "a number to call"),
+    (r"(full_name|first_name|last_name|surname|_name$|^name$)", "pii", "hash", "what somebody is called"),
+    (r"(street|address_line|addr_line|house_no)", "pii", "hash", "where somebody lives"),
+    (r"(latitude|longitude|geo_lat|geo_lon)", "pii", "redact", "a point on the map"),
+    (r"(ip_address|device_id|user_agent)", "pii", "hash", "a machine somebody uses"),
+    (r"(zip|postcode|postal_code)", "internal", "none", "a delivery district"),
+    (r"(city|state|province|region|country)", "internal", "none", "a town or region"),
 )
 #: What a column's values say, most specific first.
 VALUE_RULES = (
-    (r"^\d{3}\.\d{3}\.\d{3}-\d{2}$", "sensitive_pii", "hash", "a government identifier"),
-    (r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$", "pii", "hash", "an email address"),
-    (r"^\+?\d[\d\s().-]{7,}\d$", "pii", "partial", "a phone number"),
+    (r"^\d{3}\.\d{3}\.\d{3}-\d{2}$", "sensitive_pii", "hash", "a number given by the state"),
+    (r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$", "pii", "hash", "an address for mail"),
+    (r"^\+?\d[\d\s().-]{7,}\d$", "pii", "partial", "a number to call"),
 )
 
 

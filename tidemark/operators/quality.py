@@ -12,7 +12,7 @@ import re
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,7 +61,7 @@ class Rule:
             raise RuleError(f"rule {self.id}: expression isn't JSON: {e}") from e
         if not isinstance(raw, dict):
             raise RuleError(f"rule {self.id}: expression must be a JSON object")
-        return raw
+        return {k: v for k, v in raw.items() if v is not None}  # a bound given as null is none
 
 
 @dataclass(frozen=True)
@@ -109,20 +109,18 @@ def checked(df: DataFrame, rule: Rule) -> Rule:
     if rule.rule_type == "allowed_values" and not isinstance(p["values"], list):
         raise RuleError(f"rule {rule.id}: values must be a list")
     if rule.rule_type == "regex":
-        try:
-            re.compile(p["pattern"])
-        except (re.error, TypeError) as e:
-            raise RuleError(f"rule {rule.id}: bad pattern: {e}") from e
+        try:  # by the engine that will run it
+            df.sparkSession.sparkContext._jvm.java.util.regex.Pattern.compile(search_pattern(p["pattern"]))
+        except Exception as e:  # noqa: BLE001 - py4j wraps the Java exception
+            raise RuleError(f"rule {rule.id}: bad pattern {p['pattern']!r}") from e
     return Rule(rule.id, rule.rule_type, rule.severity, name, rule.expression)
 
 
 def broken(df: DataFrame, rule: Rule) -> Column:
-    """True where a row breaks a checked row rule."""
+    """True where a row breaks a checked row rule that looks at the row alone."""
     c, p = F.col(f"`{rule.column}`"), rule.params()
     if rule.rule_type == "not_null":
         return c.isNull()
-    if rule.rule_type == "unique":
-        return c.isNotNull() & (F.count("*").over(Window.partitionBy(c)) > 1)
     if rule.rule_type == "range":
         tests = [c < F.lit(p["minimum"])] if "minimum" in p else []
         if "maximum" in p:
@@ -136,9 +134,21 @@ def broken(df: DataFrame, rule: Rule) -> Column:
     return F.coalesce(~c.cast("string").rlike(search_pattern(p["pattern"])), F.lit(False))
 
 
+def with_repeats(df: DataFrame, rule: Rule) -> DataFrame:
+    """``df`` with the flag of a unique rule. Values are counted map-side and joined back where they repeat: nulls, however many, aren't counted, and a value that fills the table is one row there and a skewed key
+    of a join here, which AQE splits."""
+    c, value = F.col(f"`{rule.column}`"), f"{rule.flag}_value"
+    repeats = df.filter(c.isNotNull()).groupBy(c.alias(value)).agg(F.count("*").alias("__n")).filter("__n > 1").select(value, F.lit(True).alias(rule.flag))
+    return df.join(repeats, c == F.col(value), "left").drop(value).withColumn(rule.flag, F.coalesce(rule.flag, F.lit(False)))
+
+
 def flagged(df: DataFrame, rules: list[Rule]) -> DataFrame:
     rules = [r for r in rules if r.by_row]
-    return df.withColumns({r.flag: broken(df, r) for r in rules}) if rules else df
+    for r in rules:
+        if r.rule_type == "unique":
+            df = with_repeats(df, r)
+    plain = {r.flag: broken(df, r) for r in rules if r.rule_type != "unique"}
+    return df.withColumns(plain) if plain else df
 
 
 def rejection_reason(rules: list[Rule]) -> Column:

@@ -51,10 +51,22 @@ def current_keys(ref: Reference) -> DataFrame:
 
 
 def key_intervals(ref: Reference) -> DataFrame:
-    """natural key -> surrogates with [from, until); a deletion doesn't end the version before it."""
+    """natural key -> surrogates with [from, until), and whether it is the one that holds now; a deletion doesn't end the version before it."""
     live = keyed(ref.rows, ref.natural_key, True).filter("not is_deleted")
-    w = Window.partitionBy("__nk").orderBy("__from")
-    return live.select(F.col(f"`{ref.natural_key[0]}`").alias("__nk"), "__key", F.col("valid_from").alias("__from")).withColumn("__until", F.lead("__from").over(w))
+    w, newest = Window.partitionBy("__nk").orderBy("__from"), Window.partitionBy("__nk").orderBy(F.desc("is_current"), F.desc("__from"), "__key")
+    spans = live.select(F.col(f"`{ref.natural_key[0]}`").alias("__nk"), "__key", F.col("valid_from").alias("__from"), "is_current")
+    return spans.withColumns({"__until": F.lead("__from").over(w), "__now": F.col("is_current") & (F.row_number().over(newest) == 1)}).drop("is_current")
+
+
+class KeyCollision(RuntimeError):
+    """Two members of a dimension have one surrogate key."""
+
+
+def check_keys(dim: DataFrame, name: str) -> None:
+    """Raises KeyCollision if a surrogate key isn't unique: by chance in one of some 10^9 members' 2^63 keys, or by a natural key that repeats."""
+    twice = dim.groupBy(name).agg(F.count("*").alias("n")).filter("n > 1").limit(5).collect()
+    if twice:
+        raise KeyCollision(f"{name} {', '.join(str(r[0]) for r in twice)} has several members")
 
 
 def look_up(fact: DataFrame, ref: Reference, event_time: str | None, out: str) -> DataFrame:
@@ -69,12 +81,10 @@ def look_up(fact: DataFrame, ref: Reference, event_time: str | None, out: str) -
         found = fact.join(current_keys(ref), column == F.col("__nk"), "left")
         return found.withColumn(out, F.coalesce("__key", F.lit(UNKNOWN))).drop("__nk", "__key")
     t = F.col(f"`{event_time}`").cast("timestamp")
-    within = (column == F.col("__nk")) & (t >= F.col("__from")) & (F.col("__until").isNull() | (t < F.col("__until")))
-    found = fact.join(key_intervals(ref), within, "left").drop("__nk", "__from", "__until")
+    held = (t >= F.col("__from")) & (F.col("__until").isNull() | (t < F.col("__until")))
     # without an event time the current version holds
-    now = current_keys(ref).withColumnRenamed("__key", "__now")
-    found = found.join(now, (column == F.col("__nk")) & t.isNull(), "left")
-    return found.withColumn(out, F.coalesce("__key", "__now", F.lit(UNKNOWN))).drop("__nk", "__key", "__now")
+    found = fact.join(key_intervals(ref), (column == F.col("__nk")) & (held | (t.isNull() & F.col("__now"))), "left")
+    return found.withColumn(out, F.coalesce("__key", F.lit(UNKNOWN))).drop("__nk", "__key", "__from", "__until", "__now")
 
 
 def out_names(refs: list[Reference]) -> list[str]:

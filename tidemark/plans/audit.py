@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
+from html import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,12 +58,12 @@ class Audit:
         return self.t["pipeline_run"].filter("status = 'running'")
 
     def abandoned(self, at: datetime, hours: int = ABANDONED_HOURS) -> DataFrame:
-        """Runs left running for too long with the status and end they should have."""
+        """Runs left running for too long with the status and end they should have: that of their last finished task, or their start if none has finished."""
         return self._sql(
             """SELECT r.run_id, CASE WHEN count(t.id) = 0 OR bool_or(t.status IN ('running', 'failed')) THEN 'failed' WHEN bool_or(t.status = 'quarantined') THEN 'quarantined' ELSE 'succeeded' END AS status,
-              coalesce(max(t.ended_at), :at) AS ended_at
+              coalesce(max(t.ended_at), max(r.started_at)) AS ended_at
             FROM {pipeline_run} r LEFT JOIN {task_run} t ON t.run_id = r.run_id WHERE r.status = 'running' AND r.started_at < :edge GROUP BY r.run_id""",
-            at=at, edge=at - timedelta(hours=hours),
+            edge=at - timedelta(hours=hours),
         )
 
     def ranked_tasks(self) -> DataFrame:
@@ -72,9 +73,9 @@ class Audit:
         """Each object's last tasks: how many, how many failed, rows, and how the latest went."""
         return self._sql(
             """WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY source_object_id ORDER BY started_at DESC, id DESC) AS rank FROM {task_run}),
-            recent AS (SELECT source_object_id, count(*) AS tasks, count_if(status = 'failed') AS failed, sum(rows_read) AS rows_read, sum(rows_rejected) AS rows_rejected, max_by(status, -rank) AS last_status, max_by(started_at, -rank) AS last_started
+            recent AS (SELECT source_object_id, count(*) AS tasks, count_if(status = 'failed') AS failed, sum(rows_read) AS rows_read, sum(rows_written) AS rows_written, sum(rows_rejected) AS rows_rejected, max_by(status, -rank) AS last_status, max_by(started_at, -rank) AS last_started
               FROM ranked WHERE rank <= :n GROUP BY source_object_id)
-            SELECT o.id AS source_object_id, o.object_name, coalesce(tasks, 0) AS tasks, coalesce(failed, 0) AS failed, coalesce(rows_read, 0) AS rows_read, coalesce(rows_rejected, 0) AS rows_rejected, last_status, last_started
+            SELECT o.id AS source_object_id, o.object_name, o.owner, coalesce(tasks, 0) AS tasks, coalesce(failed, 0) AS failed, coalesce(rows_read, 0) AS rows_read, coalesce(rows_written, 0) AS rows_written, coalesce(rows_rejected, 0) AS rows_rejected, last_status, last_started
             FROM {source_object} o LEFT JOIN recent ON recent.source_object_id = o.id""",
             n=limit,
         )
@@ -139,6 +140,17 @@ def close_abandoned(spark: SparkSession, store: ControlStore, dry_run: bool = Tr
     return found
 
 
+def html_report(audit: Audit, at: datetime | None = None, rows: int = 50) -> str:
+    """The snapshot as one page without scripts; each view shows its first rows."""
+    parts = []
+    for name, df in audit.snapshot(at).items():
+        head = "".join(f"<th>{escape(c)}</th>" for c in df.columns)
+        body = "".join("<tr>" + "".join(f"<td>{'' if v is None else escape(str(v))}</td>" for v in r) + "</tr>" for r in df.limit(rows).collect())
+        parts.append(f"<section><h2>{escape(name.replace('_', ' '))}</h2><table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table></section>")
+    style = "body{font:14px sans-serif}table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:2px 6px;text-align:left}"
+    return f"<!doctype html><meta charset='utf-8'><title>audit</title><style>{style}</style><h1>Audit</h1>{''.join(parts)}"
+
+
 def report(audit: Audit, at: datetime | None = None, rows: int = 20) -> str:
     """The snapshot as text."""
     out = []

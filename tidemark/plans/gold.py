@@ -44,6 +44,7 @@ def build_dimension(lake: Lake, obj: SourceObject, run_id: str) -> GoldResult:
         seen = Observation()
         version = lake.table(path).overwrite(out.observe(seen, F.count(F.lit(1)).alias("n")))
         n = seen.get["n"] - 1
+        star.check_keys(lake.table(path).read(version), star.key_column(obj.object_name))
         task.update(rows_read=n, rows_written=n + 1, lineage=(out, {star.key_column(obj.object_name): keys, **{c: [c] for c in rows.columns}}))
         return GoldResult(version, n, n + 1)
 

@@ -106,8 +106,8 @@ def cdc_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CHANGES} SELECT count(*) FILTER (op IS DISTINCT FROM 'D') AS upserts, count(*) FILTER (op = 'D') AS deletes FROM changes")
 def cdc_split(spark: SparkSession, sf: str) -> DataFrame:
-    upserts, deletes = cdc.split(_changes(spark, sf), "op", "D")
-    return upserts.agg(F.count("*").alias("upserts")).join(deletes.agg(F.count("*").alias("deletes")))
+    gone = cdc.is_delete(_changes(spark, sf), "op", "D")
+    return _changes(spark, sf).agg(F.count_if(~gone).alias("upserts"), F.count_if(gone).alias("deletes"))
 
 
 # -- conformance ------------------------------------------------------------------------------
@@ -197,7 +197,7 @@ def scd2_actions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _key_sql(*columns: str) -> str:
     joined = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
-    return f"CAST('0x' || substr(sha256(concat_ws(chr(31), {joined})), 1, 15) AS BIGINT) + 1"
+    return f"CAST(greatest(CAST('0x' || substr(sha256(concat_ws(chr(31), {joined})), 1, 16) AS UBIGINT) >> 1, 1) AS BIGINT)"
 
 
 @query(f"SELECT {_key_sql('c_custkey')} AS customer_key, c_custkey, c_name, c_mktsegment FROM customer UNION ALL SELECT 0, NULL, NULL, NULL")
@@ -240,7 +240,7 @@ def _versions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_AS_OF}, live AS (SELECT * FROM h WHERE NOT is_deleted) SELECT o_orderkey, coalesce(CASE WHEN c_custkey IS NOT NULL THEN CAST('0x' || substr(sha256(concat_ws(chr(31), CAST(c_custkey AS VARCHAR), CAST(epoch_us(valid_from) AS VARCHAR))), 1, 15) AS BIGINT) + 1 END, 0) AS customer_key
+    f"""WITH {_AS_OF}, live AS (SELECT * FROM h WHERE NOT is_deleted) SELECT o_orderkey, coalesce(CASE WHEN c_custkey IS NOT NULL THEN CAST(greatest(CAST('0x' || substr(sha256(concat_ws(chr(31), CAST(c_custkey AS VARCHAR), CAST(epoch_us(valid_from) AS VARCHAR))), 1, 16) AS UBIGINT) >> 1, 1) AS BIGINT) END, 0) AS customer_key
     FROM orders o ASOF LEFT JOIN live ON o.o_custkey = live.c_custkey AND o.o_orderdate >= live.valid_from"""
 )
 def asof_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,8 +253,8 @@ def asof_lookup(spark: SparkSession, sf: str) -> DataFrame:
 KEY = b"a-key"
 
 
-def _pad_sql(x: int) -> str:
-    return f"unhex('{bytes(b ^ x for b in KEY.ljust(64, bytes(1))).hex()}')"
+def _pad_sql(x: int, key: bytes = KEY) -> str:
+    return f"unhex('{bytes(b ^ x for b in key.ljust(64, bytes(1))).hex()}')"
 
 
 @query(
@@ -266,7 +266,7 @@ def mask_customer(spark: SparkSession, sf: str) -> DataFrame:
     return privacy.apply_masks(rows, {"hashed": "hash", "cut": "partial", "hidden": "redact"}, KEY)[0]
 
 
-@query()
+@query("SELECT * FROM (VALUES ('customer_email', 'pii', 'hash'), ('customer_phone', 'pii', 'partial'), ('customer_city', 'internal', 'none'), ('customer_zip_prefix', 'internal', 'none')) t(column_name, sensitivity, masking)")
 def privacy_scan(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer_snapshots").select("customer_id", "customer_email", "customer_phone", "customer_city", "customer_zip_prefix")
     return spark.createDataFrame([(p.column, p.sensitivity, p.masking) for p in privacy.scan(rows)], "column_name string, sensitivity string, masking string")
@@ -320,8 +320,8 @@ def audit_recent_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {_TASKS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY source_object_id ORDER BY started_at DESC, id DESC) AS r FROM task),
-    recent AS (SELECT source_object_id, count(*) AS tasks, count(*) FILTER (status = 'failed') AS failed, sum(rows_read)::BIGINT AS rows_read, sum(rows_rejected)::BIGINT AS rows_rejected, max(status) FILTER (r = 1) AS last_status FROM ranked WHERE r <= 20 GROUP BY 1)
-    SELECT o.id AS source_object_id, object_name, coalesce(tasks, 0) AS tasks, coalesce(failed, 0) AS failed, coalesce(rows_read, 0) AS rows_read, coalesce(rows_rejected, 0) AS rows_rejected, last_status FROM source_object o LEFT JOIN recent ON recent.source_object_id = o.id"""
+    recent AS (SELECT source_object_id, count(*) AS tasks, count(*) FILTER (status = 'failed') AS failed, sum(rows_read)::BIGINT AS rows_read, sum(rows_written)::BIGINT AS rows_written, sum(rows_rejected)::BIGINT AS rows_rejected, max(status) FILTER (r = 1) AS last_status FROM ranked WHERE r <= 20 GROUP BY 1)
+    SELECT o.id AS source_object_id, object_name, owner, coalesce(tasks, 0) AS tasks, coalesce(failed, 0) AS failed, coalesce(rows_read, 0) AS rows_read, coalesce(rows_written, 0) AS rows_written, coalesce(rows_rejected, 0) AS rows_rejected, last_status FROM source_object o LEFT JOIN recent ON recent.source_object_id = o.id"""
 )
 def audit_object_health(spark: SparkSession, sf: str) -> DataFrame:
     return _control(spark, sf).object_health().drop("last_started")
@@ -511,11 +511,11 @@ def schema_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {_TASKS}, p AS (SELECT run_id, arg_max(status, {{'s': started_at, 'n': run_no}}) AS status, min(started_at) AS started_at FROM once GROUP BY run_id)
-    SELECT p.run_id, CASE WHEN bool_or(t.status IN ('running', 'failed')) THEN 'failed' WHEN bool_or(t.status = 'quarantined') THEN 'quarantined' ELSE 'succeeded' END AS status FROM p JOIN task t USING (run_id)
+    SELECT p.run_id, CASE WHEN bool_or(t.status IN ('running', 'failed')) THEN 'failed' WHEN bool_or(t.status = 'quarantined') THEN 'quarantined' ELSE 'succeeded' END AS status, epoch_us(coalesce(max(t.ended_at), min(p.started_at))) AS ended_us FROM p JOIN task t USING (run_id)
     WHERE p.status = 'running' AND p.started_at < TIMESTAMPTZ '{_NOW}+00' - INTERVAL 24 HOUR GROUP BY 1"""
 )
 def audit_abandoned(spark: SparkSession, sf: str) -> DataFrame:
-    return _control(spark, sf).abandoned(at(_NOW)).select("run_id", "status")
+    return _control(spark, sf).abandoned(at(_NOW)).select("run_id", "status", us("ended_at").alias("ended_us"))
 
 
 @query("SELECT event_id, user_id FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _OWN_DIRS: dict[str, str] = {}
+_MARKED: set[str] = set()
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,9 +44,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
+def work_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder. It goes when the driver's JVM ends, or earlier by ``clean``."""
+    path = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if path not in _MARKED:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _MARKED.add(path)
+    return path
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, for what only this application reads."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes everything under ``new_path``. Frames that read from there can't be evaluated any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _MARKED.discard(work_dir(spark))
 
 
 def materialise(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
