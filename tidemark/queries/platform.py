@@ -20,7 +20,7 @@ from tidemark.plans import audit, bronze, classify, gold, replay, runner, silver
 from tidemark.plans.bronze import Lake
 from tidemark.plans.lineage import Lineage
 from tidemark.queries.core import _BROKEN, _SCD2_BATCH, _T1, _T2, _history, _marked, _pad_sql, at, one_object, query, shop_lake, us
-from tidemark.runtime import new_path
+from tidemark.runtime import new_path, session_settings
 from tidemark.settings import JsonFormatter, Settings
 from tidemark.sources.seed import Seed
 from tidemark.sources.source import FilteringSource, FrameSource, ParquetSource
@@ -532,6 +532,21 @@ def store_ddl(spark: SparkSession, sf: str) -> DataFrame:
     return frame(spark, [(d, ddl(d).count("CREATE TABLE"), ddl(d).count("IDENTITY")) for d in DIALECTS], "dialect string, tables bigint, identity_keys bigint")
 
 
+@query(values("setting, value", ("spark.driver.maxResultSize", "2g"), ("spark.driver.memory", "6g"), ("spark.sql.shuffle.partitions", None), ("spark.sql.session.timeZone", "UTC")))
+def session_builder(spark: SparkSession, sf: str) -> DataFrame:
+    found = session_settings({"TIDEMARK_MAX_RESULT": "2g", "TIDEMARK_DRIVER_MEMORY": "6g", "TIDEMARK_SHUFFLE_PARTITIONS": ""})
+    names = ("spark.driver.maxResultSize", "spark.driver.memory", "spark.sql.shuffle.partitions", "spark.sql.session.timeZone")
+    return frame(spark, [(n, found.get(n)) for n in names], "setting string, value string")
+
+
+@query(values("command", *((c,) for c in ("pipeline", "seed", "privacy", "audit", "maintenance", "replay", "contracts", "migrate"))))
+def cli_commands(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.__main__ import parser
+
+    sub = next(a for a in parser()._actions if a.choices)
+    return frame(spark, [(c,) for c in sub.choices], "command string")
+
+
 @query(values("what, value", ("lake_root", "elsewhere"), ("log_level", "INFO"), ("logged", "hello")))
 def settings_and_logs(spark: SparkSession, sf: str) -> DataFrame:
     os.environ["TIDEMARK_QUERY_LAKE_ROOT"] = "elsewhere"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,15 +14,22 @@ _OWN_DIRS: dict[str, str] = {}
 _MARKED: set[str] = set()
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators count on: UTC, AQE with skew splitting."""
-    settings = {
+def session_settings(environ: Mapping[str, str]) -> dict[str, str]:
+    """The settings the operators count on (UTC, AQE with skew splitting), a bound on what may come to the driver, and sizes where the environment gives them; a cluster's own hold otherwise."""
+    sized = {"spark.driver.memory": "TIDEMARK_DRIVER_MEMORY", "spark.sql.shuffle.partitions": "TIDEMARK_SHUFFLE_PARTITIONS", "spark.sql.files.maxPartitionBytes": "TIDEMARK_SCAN_BYTES"}
+    return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
-    } | conf
+        "spark.driver.maxResultSize": environ.get("TIDEMARK_MAX_RESULT", "1g"),
+        **{k: environ[v] for k, v in sized.items() if environ.get(v)},
+    }
+
+
+def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
+    settings = session_settings(os.environ) | conf
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
