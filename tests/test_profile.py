@@ -105,3 +105,12 @@ def test_decimals_dates_and_times(spark):
     assert (x.min_value, x.max_value, x.median) == (-1, 2, 0.5)
     assert one(spark, "timestamp_ntz", [datetime(1970, 1, 1, 0, 0, 1)]).median == 1_000_000
     assert one(spark, "long", [-(1 << 62), 7, 1 << 62]).median == 7
+
+
+def test_rows_without_a_load(spark):
+    usual = [(load, i % 50 + 1, "ab"[i % 2], f"x{i}", None, None) for load in range(9) for i in range(100)]
+    stray = [(None, None, "z", "q", None, None)] * 40
+    assert departures(spark, usual + stray) == []
+    counts = value_counts(frame(spark, usual + stray), "t", "load_no", specs())
+    assert profile.load_profile(counts).count() == 27
+    assert profile.state_profile(counts).filter("column_name = 'n'").first().nulls == 40

@@ -8,7 +8,7 @@ entropy) is exact, since it is computed from the counts and not from a sketch.
 A value is counted under its text. Values of number columns also have a ``num``, a whole number in their order: integers are their own, decimals count their last digit, floating point numbers are their sign and bits, dates and
 timestamps are days and microseconds; minimum, maximum and median are found among these and turned back. Decimals of more than 18 digits are ordered as floating point numbers.
 
-Defined cases: a null counts as a row with null value; an empty text is a value; an empty load changes nothing; a
+Defined cases: rows whose load is null belong to no load: they count in the state of a table, not among its loads; a null counts as a row with null value; an empty text is a value; an empty load changes nothing; a
 column without non-null values has null range, median and shares and entropy 0; NaN is a value above all others, -0.0 is 0.0; repeated rows count each time; columns that aren't
 named in the specification are ignored, whatever their names.
 
@@ -169,7 +169,7 @@ def load_profile(counts: DataFrame) -> DataFrame:
 
     min_value, max_value and median are doubles (of dates and times days and microseconds); ``level`` is the median with negative values taken as 0.
     """
-    known = F.col("value").isNotNull()
+    counts, known = counts.filter("load is not null"), F.col("value").isNotNull()
     zero = F.when(F.col("num") == 0, F.col("n")).otherwise(0)
     figures = counts.groupBy(*KEYS).agg(
         F.max("form").alias("form"), F.sum("n").alias("n_rows"), F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("nulls"), F.sum(F.when(known, 1).otherwise(0)).alias("n_distinct"),
@@ -239,7 +239,7 @@ def _share_departures(counts: DataFrame, profile: DataFrame, categories: list[st
     by = ["scope", "column_name", "value"]
     loads = profile.filter(F.col("column_name").isin(categories) & (F.col("n_known") > 0)).select(*KEYS, "n_known")
     shares = (
-        counts.filter(F.col("column_name").isin(categories) & F.col("value").isNotNull())
+        counts.filter(F.col("load").isNotNull() & F.col("column_name").isin(categories) & F.col("value").isNotNull())
         .join(loads, KEYS)
         .select(*KEYS, "value", (F.col("n") / F.col("n_known")).alias("share"))
     )
