@@ -125,14 +125,17 @@ class MerkleHistory:
     def _objects(self, rows: DataFrame, numbered: DataFrame, known: dict[str, dict]) -> dict[str, dict]:
         """What is kept of each object: its depth, the ranges of leaves its files are cut by (first number and how many), and the rank of its last snapshot."""
         obj = self.names["obj"]
-        sizes = rows.groupBy(obj).agg(F.approx_count_distinct(self.names["key"]).alias("keys")).join(numbered.groupBy(obj).agg(F.max("rank").alias("last")), obj).collect()
+        lasts = {r[obj]: r["last"] for r in numbered.filter(F.col(obj).isNotNull()).groupBy(obj).agg(F.max("rank").alias("last")).collect()}
+        unknown = [o for o in lasts if str(o) not in known]
+        # only objects that are new need their keys counted
+        keys = {r[obj]: r["keys"] for r in rows.filter(F.col(obj).isin(unknown)).groupBy(obj).agg(F.approx_count_distinct(self.names["key"]).alias("keys")).collect()} if unknown else {}
         out, top = {o: dict(s) for o, s in known.items()}, max((s["first"] + s["files"] for s in known.values()), default=0)
-        for r in sorted(sizes, key=lambda r: str(r[obj])):
-            own = out.setdefault(str(r[obj]), {})
+        for o in sorted(lasts, key=str):
+            own = out.setdefault(str(o), {})
             if "depth" not in own:
-                own |= {"depth": depth_for(r["keys"], self.per_leaf), "first": top, "files": max(1, -(-r["keys"] // self.per_file))}
+                own |= {"depth": depth_for(keys[o], self.per_leaf), "first": top, "files": max(1, -(-keys[o] // self.per_file))}
                 top += own["files"]
-            own["last"] = r["last"]
+            own["last"] = lasts[o]
         return out
 
     @staticmethod
